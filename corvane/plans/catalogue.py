@@ -1,0 +1,11 @@
+"""All queries of the annotation engine, with the same in DuckDB SQL."""
+
+from __future__ import annotations
+
+
+def queries():
+    return {}
+
+
+def oracle_sql():
+    return {}
