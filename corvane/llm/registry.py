@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality
+from . import bpe, mixing, quality
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op7_quality_rules": quality.query,
+        "op9_byte_bpe": bpe.query,
         "op10_mix_sources": mixing.query,
     }
 
