@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality
+from . import bpe, mixing, quality, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_warc": warc.query,
         "op7_quality_rules": quality.query,
         "op9_byte_bpe": bpe.query,
         "op10_mix_sources": mixing.query,
