@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality, warc
+from . import bpe, chunk_dedup, mixing, quality, unit_dedup, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_substring_dedup": unit_dedup.query,
+        "op4_line_dedup": chunk_dedup.query,
         "op5_warc": warc.query,
         "op7_quality_rules": quality.query,
         "op9_byte_bpe": bpe.query,
