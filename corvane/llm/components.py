@@ -1,0 +1,24 @@
+"""Connected components over a table of edges, by least labels and pointer jumping, nothing on the driver but a count a round."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import materialise
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """edges (a, b) -> (node, label) for all nodes of edges; label is the component's least node."""
+    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
+    both = materialise(both, "edges")
+    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
+    while True:
+        near = both.join(labels.withColumnRenamed("node", "n"), F.col("b") == F.col("n")).groupBy("a").agg(F.min("label").alias("least"))
+        new = labels.join(near, F.col("node") == F.col("a"), "left").select("node", F.col("label").alias("old"), F.least("label", "least").alias("label"))
+        jump = labels.select(F.col("node").alias("n"), F.col("label").alias("further"))
+        new = new.join(jump, F.col("label") == F.col("n"), "left").select("node", "old", F.least("label", "further").alias("label"))
+        new = materialise(new, "labels")
+        labels = new.select("node", "label")
+        if new.filter("old <> label").isEmpty():
+            return labels
