@@ -146,7 +146,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
         ids = c.encode(text)
         return ids, c.decode(ids)
 
-    return _mapped(docs, path, key, text, schema, of)
+    return _mapped(docs, path, [key], text, schema, of)
 
 
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -159,11 +159,25 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
         ids = c.encode(text)
         return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(c.decode(ids).encode("utf-8")).hexdigest()
 
-    return _mapped(docs, path, key, text, schema, of)
+    return _mapped(docs, path, [key], text, schema, of)
 
 
-def _mapped(docs: DataFrame, path: str, key: str, text: str, schema, of) -> DataFrame:
-    names = [f.name for f in schema.fields]
+def tokens(docs: DataFrame, path: str, keep: list[str], text: str = "text") -> DataFrame:
+    """The columns named in keep with n_tokens, ids (binary as in encode()) and decoded_sha256."""
+    from pyspark.sql import types as T
+
+    schema = T.StructType([*(docs.schema[k] for k in keep), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("decoded_sha256", T.StringType())])
+
+    def of(text: str, c: Codec) -> tuple[int, bytes, str]:
+        ids = c.encode(text)
+        return len(ids) // 4, ids, hashlib.sha256(c.decode(ids).encode("utf-8")).hexdigest()
+
+    return _mapped(docs, path, keep, text, schema, of)
+
+
+def _mapped(docs: DataFrame, path: str, keep: list[str], text: str, schema, of) -> DataFrame:
+    """The columns in keep, then what of(text, codec) gives, by schema."""
+    n = len(keep)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -173,11 +187,10 @@ def _mapped(docs: DataFrame, path: str, key: str, text: str, schema, of) -> Data
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                rows = [of(t or "", c) for t in part.column(1).to_pylist()]
-                cols = [part.column(0), *(list(x) for x in zip(*rows))] if rows else [part.column(0), *([] for _ in names[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(x, to.field(i).type) if i else x.cast(to.field(0).type) for i, x in enumerate(cols)], schema=to)
+                made = list(zip(*(of(t or "", c) for t in part.column(n).to_pylist())))
+                yield pa.RecordBatch.from_arrays([*(part.column(i).cast(to.field(i).type) for i in range(n)), *(pa.array(x, to.field(n + i).type) for i, x in enumerate(made))], schema=to)
 
-    return docs.select(key, text).mapInArrow(run, schema)
+    return docs.select(*keep, text).mapInArrow(run, schema)
 
 
 def vocabulary() -> str:

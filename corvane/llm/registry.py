@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chunk_dedup, langid, mixing, near_dedup, quality, unit_dedup, warc
+from . import bpe, chunk_dedup, fingerprint, langid, mixing, near_dedup, quality, unit_dedup, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_substring_dedup": unit_dedup.query,
         "op4_line_dedup": chunk_dedup.query,
         "op5_warc": warc.query,
+        "op6_fingerprints": fingerprint.query,
         "op7_quality_rules": quality.query,
         "op8_language_id": langid.query,
         "op9_byte_bpe": bpe.query,
