@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chunk_dedup, fingerprint, langid, mixing, near_dedup, quality, unit_dedup, warc
+from . import bpe, chunk_dedup, fingerprint, langid, mixing, near_dedup, quality, suffix_dedup, unit_dedup, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": near_dedup.query,
         "op2_substring_dedup": unit_dedup.query,
+        "op3_suffix_dedup": suffix_dedup.query,
         "op4_line_dedup": chunk_dedup.query,
         "op5_warc": warc.query,
         "op6_fingerprints": fingerprint.query,
