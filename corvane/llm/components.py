@@ -14,10 +14,10 @@ def components(edges: DataFrame) -> DataFrame:
     both = materialise(both, "edges")
     labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
     while True:
-        near = both.join(labels.withColumnRenamed("node", "n"), F.col("b") == F.col("n")).groupBy("a").agg(F.min("label").alias("least"))
-        new = labels.join(near, F.col("node") == F.col("a"), "left").select("node", F.col("label").alias("old"), F.least("label", "least").alias("label"))
+        near = both.join(labels.withColumnRenamed("node", "n").hint("merge"), F.col("b") == F.col("n")).groupBy("a").agg(F.min("label").alias("least"))
+        new = labels.join(near.hint("merge"), F.col("node") == F.col("a"), "left").select("node", F.col("label").alias("old"), F.least("label", "least").alias("label"))
         jump = labels.select(F.col("node").alias("n"), F.col("label").alias("further"))
-        new = new.join(jump, F.col("label") == F.col("n"), "left").select("node", "old", F.least("label", "further").alias("label"))
+        new = new.join(jump.hint("merge"), F.col("label") == F.col("n"), "left").select("node", "old", F.least("label", "further").alias("label"))
         new = materialise(new, "labels")
         labels = new.select("node", "label")
         if new.filter("old <> label").isEmpty():

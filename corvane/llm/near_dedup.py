@@ -33,6 +33,8 @@ from .common import P, documents, materialise
 from .components import components
 from .spans import numbered
 
+# Joins with tables that grow with the input carry a merge hint: the same plan at any size, and Spark splits their skewed partitions.
+
 WORDS = 5
 THRESHOLD = 0.8
 COMPONENTS = 128
@@ -219,39 +221,39 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     """(uid, class_uid) of documents with words; class_uid is a member of the class. docs has __cv_uid."""
     signed = materialise(docs.select(F.col(f"{P}uid"), F.col(text)).mapInArrow(_sign, _SIGNED), "signatures")
     first = signed.groupBy("digest").agg(F.min("uid").alias("rep"))
-    member = materialise(signed.select("uid", "digest").join(first, "digest").select("uid", "rep"), "members")
+    member = materialise(signed.select("uid", "digest").join(first.hint("merge"), "digest").select("uid", "rep"), "members")
 
-    reps = signed.join(member.filter("uid = rep").select("uid"), "uid", "left_semi")
+    reps = signed.join(member.filter("uid = rep").select("uid").hint("merge"), "uid", "left_semi")
     band = reps.select("uid", F.posexplode("bands").alias("i", "v")).select("uid", F.xxhash64("i", "v").alias("bucket"))
     # Only band values that several documents share; the rest is gone before anything is joined.
     shared = band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("first")).filter("n > 1").select("bucket")
-    live = materialise(band.join(shared, "bucket").withColumn("comp", F.col("uid")).withColumn("last", F.lit(-1).cast("long")), "buckets")
+    live = materialise(band.join(shared.hint("merge"), "bucket").withColumn("comp", F.col("uid")).withColumn("last", F.lit(-1).cast("long")), "buckets")
     ids = live.select("uid").distinct()
-    sigs = materialise(reps.select("uid", "bytes").join(ids, "uid", "left_semi"), "candidate-signatures")
-    texts = materialise(docs.select(F.col(f"{P}uid").alias("uid"), F.col(text).alias("text")).join(ids, "uid", "left_semi"), "candidate-texts")
+    sigs = materialise(reps.select("uid", "bytes").join(ids.hint("merge"), "uid", "left_semi"), "candidate-signatures")
+    texts = materialise(docs.select(F.col(f"{P}uid").alias("uid"), F.col(text).alias("text")).join(ids.hint("merge"), "uid", "left_semi"), "candidate-texts")
 
     edges, hubs = None, 1
     while not live.isEmpty():
         ranked = live.filter("uid > last").select("bucket", "uid", "comp").withColumn("r", F.row_number().over(Window.partitionBy("bucket").orderBy("uid")))
         hub = materialise(ranked.filter(F.col("r") <= hubs).select("bucket", F.col("uid").alias("hub"), F.col("comp").alias("hub_comp")), "hubs")
-        pairs = live.join(hub, "bucket").filter("uid > hub and comp <> hub_comp").select("uid", "hub").distinct()
-        near = pairs.join(sigs.select(F.col("uid"), F.col("bytes").alias("x")), "uid").join(sigs.select(F.col("uid").alias("hub"), F.col("bytes").alias("y")), "hub")
+        pairs = live.join(hub.hint("merge"), "bucket").filter("uid > hub and comp <> hub_comp").select("uid", "hub").distinct()
+        near = pairs.join(sigs.select(F.col("uid"), F.col("bytes").alias("x")).hint("merge"), "uid").join(sigs.select(F.col("uid").alias("hub"), F.col("bytes").alias("y")).hint("merge"), "hub")
         near = materialise(near.filter(_agreement(F.col("x"), F.col("y")) >= LEAST_AGREEMENT).select("uid", "hub"), "near-pairs")
         run, schema = _verify(threshold)
-        both = near.join(texts.select("uid", F.col("text").alias("ta")), "uid").join(texts.select(F.col("uid").alias("hub"), F.col("text").alias("tb")), "hub")
+        both = near.join(texts.select("uid", F.col("text").alias("ta")).hint("merge"), "uid").join(texts.select(F.col("uid").alias("hub"), F.col("text").alias("tb")).hint("merge"), "hub")
         found = materialise(both.select("uid", "hub", "ta", "tb").mapInArrow(run, schema), "links")
         edges = found if edges is None else edges.union(found)
         # Members take their component's label; buckets within one component or without untried hubs are done.
         labels = components(edges)
-        live = live.join(labels, F.col("uid") == F.col("node"), "left").withColumn("comp", F.coalesce("label", "comp")).drop("node", "label")
+        live = live.join(labels.hint("merge"), F.col("uid") == F.col("node"), "left").withColumn("comp", F.coalesce("label", "comp")).drop("node", "label")
         tried = hub.groupBy("bucket").agg(F.max("hub").alias("now"))
-        state = live.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("uid").alias("top")).join(tried, "bucket").filter("lo < hi and top > now")
-        live = materialise(live.drop("last").join(state.select("bucket", F.col("now").alias("last")), "bucket").select("bucket", "uid", "comp", "last"), "buckets")
+        state = live.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("uid").alias("top")).join(tried.hint("merge"), "bucket").filter("lo < hi and top > now")
+        live = materialise(live.drop("last").join(state.select("bucket", F.col("now").alias("last")).hint("merge"), "bucket").select("bucket", "uid", "comp", "last"), "buckets")
         hubs *= 2
     if edges is None:
         return member.select("uid", F.col("rep").alias("class_uid"))
     labels = components(edges)
-    return member.join(labels, F.col("rep") == F.col("node"), "left").select("uid", F.coalesce("label", "rep").alias("class_uid"))
+    return member.join(labels.hint("merge"), F.col("rep") == F.col("node"), "left").select("uid", F.coalesce("label", "rep").alias("class_uid"))
 
 
 def _agreement(x, y):
@@ -274,10 +276,10 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
     docs = numbered(docs)
     found = materialise(classes(docs, key, text, threshold), "classes")
     place = F.struct(F.col("rank").isNull().alias("a"), F.col("rank").alias("b"), F.col("uid").alias("c"))
-    ranked = found.join(docs.select(F.col(f"{P}uid").alias("u"), F.col(key).alias("rank")), F.col("uid") == F.col("u"))
+    ranked = found.join(docs.select(F.col(f"{P}uid").alias("u"), F.col(key).alias("rank")).hint("merge"), F.col("uid") == F.col("u"))
     head = ranked.groupBy("class_uid").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    of = materialise(found.join(head, "class_uid").select(F.col("uid").alias(f"{P}of"), F.col("first.b").alias(f"{P}first"), F.col("first.c").alias(f"{P}head"), F.col("n").alias(f"{P}n")), "classes-of")
-    out = docs.join(of, F.col(f"{P}uid") == F.col(f"{P}of"), "left")
+    of = materialise(found.join(head.hint("merge"), "class_uid").select(F.col("uid").alias(f"{P}of"), F.col("first.b").alias(f"{P}first"), F.col("first.c").alias(f"{P}head"), F.col("n").alias(f"{P}n")), "classes-of")
+    out = docs.join(of.hint("merge"), F.col(f"{P}uid") == F.col(f"{P}of"), "left")
     alone = F.col(f"{P}of").isNull()
     out = out.withColumn(f"{P}class", F.when(alone, F.col(key)).otherwise(F.col(f"{P}first"))).withColumn(f"{P}class_size", F.coalesce(f"{P}n", F.lit(1)).cast("long"))
     return out.withColumn(f"{P}stays", alone | (F.col(f"{P}uid") == F.col(f"{P}head"))).drop(f"{P}uid", f"{P}of", f"{P}first", f"{P}head", f"{P}n")
