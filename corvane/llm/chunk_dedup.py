@@ -67,13 +67,13 @@ def _rows(docs: DataFrame, key: str, text: str, window: int, one_in: int, with_t
 def removed_spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, one_in: int = ONE_IN) -> DataFrame:
     """(__cv_of, __cv_start, __cv_end, __cv_lines) of the chunks to remove. docs has __cv_uid."""
     digests = _rows(docs, key, text, window, one_in, False).groupBy(F.col(f"{P}digest").alias(f"{P}d")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    found = _rows(docs, key, text, window, one_in, True).join(materialise(digests, "repeated-chunks"), F.col(f"{P}digest") == F.col(f"{P}d")).drop(f"{P}d")
+    found = _rows(docs, key, text, window, one_in, True).join(materialise(digests, "repeated-chunks").hint("merge"), F.col(f"{P}digest") == F.col(f"{P}d")).drop(f"{P}d")
     ranks = docs.select(F.col(f"{P}uid").alias(f"{P}u"), F.col(key).alias(f"{P}rank"))
-    found = materialise(found.join(ranks, F.col(f"{P}of") == F.col(f"{P}u")).drop(f"{P}u"), "chunk-occurrences")
+    found = materialise(found.join(ranks.hint("merge"), F.col(f"{P}of") == F.col(f"{P}u")).drop(f"{P}u"), "chunk-occurrences")
     place = F.struct(F.col(f"{P}rank").isNull().alias("a"), F.col(f"{P}rank").alias("b"), F.col(f"{P}of").alias("c"), F.col(f"{P}start").alias("d"))
     first = found.groupBy(F.col(f"{P}digest").alias(f"{P}d")).agg(F.min(place).alias(f"{P}first"))
-    kept = first.join(found.select(F.col(f"{P}of").alias(f"{P}o"), F.col(f"{P}start").alias(f"{P}s"), F.col(f"{P}piece").alias(f"{P}original")), (F.col(f"{P}first.c") == F.col(f"{P}o")) & (F.col(f"{P}first.d") == F.col(f"{P}s")))
-    others = found.join(kept, F.col(f"{P}digest") == F.col(f"{P}d"))
+    kept = first.join(found.select(F.col(f"{P}of").alias(f"{P}o"), F.col(f"{P}start").alias(f"{P}s"), F.col(f"{P}piece").alias(f"{P}original")).hint("merge"), (F.col(f"{P}first.c") == F.col(f"{P}o")) & (F.col(f"{P}first.d") == F.col(f"{P}s")))
+    others = found.join(kept.hint("merge"), F.col(f"{P}digest") == F.col(f"{P}d"))
     others = others.filter(((F.col(f"{P}of") != F.col(f"{P}o")) | (F.col(f"{P}start") != F.col(f"{P}s"))) & (F.col(f"{P}piece") == F.col(f"{P}original")))
     return others.select(f"{P}of", f"{P}start", f"{P}end", f"{P}lines")
 

@@ -52,7 +52,7 @@ def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """docs (with __cv_uid) with __cv_starts and __cv_ends (arrays, null for none) of spans (__cv_of, __cv_start, __cv_end)."""
     lists = spans.groupBy(f"{P}of").agg(F.sort_array(F.collect_list(F.struct(f"{P}start", f"{P}end"))).alias(f"{P}list"))
     lists = lists.select(f"{P}of", F.col(f"{P}list.{P}start").alias(f"{P}starts"), F.col(f"{P}list.{P}end").alias(f"{P}ends"))
-    return docs.join(lists, F.col(f"{P}uid") == F.col(f"{P}of"), "left").drop(f"{P}of")
+    return docs.join(lists.hint("merge"), F.col(f"{P}uid") == F.col(f"{P}of"), "left").drop(f"{P}of")
 
 
 @F.pandas_udf(T.StringType())
