@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.tables import materialise
+from corvane.tables import materialise, scratch
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,15 +14,16 @@ def components(edges: DataFrame) -> DataFrame:
     Each round takes the least label among the neighbours and then jumps to that label's own label, so a chain halves in length each
     round. Rounds are written to the shared folder; only whether anything changed comes back to the driver.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
-    both = materialise(both, "edges")
-    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
-    while True:
-        near = both.join(labels.withColumnRenamed("node", "n").hint("merge"), F.col("b") == F.col("n")).groupBy("a").agg(F.min("label").alias("least"))
-        new = labels.join(near.hint("merge"), F.col("node") == F.col("a"), "left").select("node", F.col("label").alias("old"), F.least("label", "least").alias("label"))
-        jump = labels.select(F.col("node").alias("n"), F.col("label").alias("further"))
-        new = new.join(jump.hint("merge"), F.col("label") == F.col("n"), "left").select("node", "old", F.least("label", "further").alias("label"))
-        new = materialise(new, "labels")
-        labels = new.select("node", "label")
-        if new.filter("old <> label").isEmpty():
-            return labels
+    with scratch(edges.sparkSession):
+        both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
+        both = materialise(both, "edges")
+        labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
+        while True:
+            near = both.join(labels.withColumnRenamed("node", "n").hint("merge"), F.col("b") == F.col("n")).groupBy("a").agg(F.min("label").alias("least"))
+            new = labels.join(near.hint("merge"), F.col("node") == F.col("a"), "left").select("node", F.col("label").alias("old"), F.least("label", "least").alias("label"))
+            jump = labels.select(F.col("node").alias("n"), F.col("label").alias("further"))
+            new = new.join(jump.hint("merge"), F.col("label") == F.col("n"), "left").select("node", "old", F.least("label", "further").alias("label"))
+            new = materialise(new, "labels")
+            labels = new.select("node", "label")
+            if new.filter("old <> label").isEmpty():
+                return materialise(labels, "components", keep=True)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,10 +22,29 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder, deleted when the driver ends."""
+#: Folders made inside each scratch() that is open, the innermost last.
+_open: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables written inside when it ends; what is used afterwards must be written with keep=True."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            _delete(spark, path)
+
+
+def new_folder(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A new path below the shared folder, deleted when the scratch() around it or the driver ends."""
     path = f"{shared_dir(spark)}/corvane-{name}-{uuid.uuid4().hex}"
-    atexit.register(_delete, spark, path)
+    within = _open[:-1] if keep else _open
+    if within:
+        within[-1].append(path)
+    else:
+        atexit.register(_delete, spark, path)
     return path
 
 
@@ -36,8 +57,8 @@ def _delete(spark: SparkSession, path: str) -> None:
         pass
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """df written to the shared folder and read again."""
-    path = new_folder(df.sparkSession, name)
+    path = new_folder(df.sparkSession, name, keep)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
