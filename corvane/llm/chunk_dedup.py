@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import P, documents, materialise
+from .common import P, documents, materialise, scratch
 from .spans import numbered, rows_of, with_spans, without_spans
 
 WINDOW = 2
@@ -81,7 +81,8 @@ def removed_spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, on
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, one_in: int = ONE_IN) -> DataFrame:
     """docs with the remaining text in `text`; __cv_starts and __cv_ends (null: none) hold the removed spans."""
     docs = numbered(docs)
-    spans = materialise(removed_spans(docs, key, text, window, one_in), "chunk-spans")
+    with scratch(docs.sparkSession):
+        spans = materialise(removed_spans(docs, key, text, window, one_in), "chunk-spans", keep=True)
     return with_spans(docs, spans).withColumn(f"{P}was", F.col(text)).withColumn(text, F.when(F.col(f"{P}starts").isNull(), F.col(text)).otherwise(without_spans(F.col(text), F.col(f"{P}starts"), F.col(f"{P}ends")))).drop(f"{P}uid")
 
 

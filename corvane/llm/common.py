@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-import atexit
 import tempfile
-import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corvane
+from corvane.tables import materialise, new_folder, scratch, shared_dir
+
+__all__ = ["P", "WORD", "documents", "let", "materialise", "new_folder", "scratch", "shared_dir", "ship", "text_of"]
+
 #: Words, as every operator here counts them: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -18,6 +23,7 @@ P = "__cv_"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -31,35 +37,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body).getItem(0)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        found = tempfile.mkdtemp(prefix="corvane-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder, deleted when the driver ends."""
-    path = f"{shared_dir(spark)}/corvane-{name}-{uuid.uuid4().hex}"
-    atexit.register(_delete, spark, path)
-    return path
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    try:
-        jvm, sc = spark.sparkContext._jvm, spark.sparkContext._jsc
-        to = jvm.org.apache.hadoop.fs.Path(path)
-        to.getFileSystem(sc.hadoopConfiguration()).delete(to, True)
-    except Exception:  # noqa: BLE001  the session may be gone; the folder's owner cleans up then
-        pass
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again: cuts the lineage, survives lost executors, has known sizes."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a session, so that tasks find it wherever they start."""
+    sc = spark.sparkContext
+    if getattr(sc, "_corvane_shipped", False):
+        return
+    root = Path(corvane.__file__).resolve().parent
+    if root.is_dir():  # else it came as an archive, and is there
+        path = Path(tempfile.mkdtemp(prefix="corvane-package-")) / "corvane-package.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, p.relative_to(root.parent))
+        sc.addPyFile(str(path))
+    sc._corvane_shipped = True

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import P, documents, materialise
+from .common import P, documents, materialise, scratch
 from .spans import numbered
 from .suffix import suffix_array
 
@@ -313,9 +313,10 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """key, starts and ends of the removed byte runs, remaining bytes and number of removed ones, for every document."""
     docs = numbered(docs.select(key, text))
-    spans = repeated_spans(docs, text, length)
-    lists = spans.groupBy(F.col("uid").alias(f"{P}of")).agg(F.collect_list("start").alias(f"{P}starts"), F.collect_list("end").alias(f"{P}ends"))
-    lists = materialise(lists, "removed-bytes")
+    with scratch(docs.sparkSession):
+        spans = repeated_spans(docs, text, length)
+        lists = spans.groupBy(F.col("uid").alias(f"{P}of")).agg(F.collect_list("start").alias(f"{P}starts"), F.collect_list("end").alias(f"{P}ends"))
+        lists = materialise(lists, "removed-bytes", keep=True)
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("starts", T.ArrayType(T.LongType())), T.StructField("ends", T.ArrayType(T.LongType())), T.StructField("kept", T.BinaryType()), T.StructField("n_removed", T.LongType())])
 
     def run(batches: Iterator) -> Iterator:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import P, documents, materialise
+from .common import P, documents, materialise, scratch
 from .spans import numbered, rows_of, with_spans, without_spans
 
 MIN_WORDS = 8
@@ -64,18 +64,19 @@ def removed_spans(docs: DataFrame, key: str, text: str, separator: str = "\n", m
     ranks = docs.select(F.col(f"{P}uid").alias(f"{P}of2"), F.col(key).alias(f"{P}rank"))
     repeated = found.groupBy(f"{P}digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col(f"{P}digest").alias(f"{P}d"))
     # Only repeated units take part in what follows.
-    some = found.join(materialise(repeated, "repeated-units"), F.col(f"{P}digest") == F.col(f"{P}d")).drop(f"{P}d")
-    some = materialise(some.join(ranks, F.col(f"{P}of") == F.col(f"{P}of2")).drop(f"{P}of2"), "unit-occurrences")
+    some = found.join(materialise(repeated, "repeated-units").hint("merge"), F.col(f"{P}digest") == F.col(f"{P}d")).drop(f"{P}d")
+    some = materialise(some.join(ranks.hint("merge"), F.col(f"{P}of") == F.col(f"{P}of2")).drop(f"{P}of2"), "unit-occurrences")
     place = F.struct(F.col(f"{P}rank").isNull().alias("a"), F.col(f"{P}rank").alias("b"), F.col(f"{P}of").alias("c"), F.col(f"{P}start").alias("d"))
     first = some.groupBy(F.col(f"{P}digest").alias(f"{P}d")).agg(F.min(place).alias(f"{P}first"))
-    joined = some.join(first, F.col(f"{P}digest") == F.col(f"{P}d"))
+    joined = some.join(first.hint("merge"), F.col(f"{P}digest") == F.col(f"{P}d"))
     return joined.filter((F.col(f"{P}of") != F.col(f"{P}first.c")) | (F.col(f"{P}start") != F.col(f"{P}first.d"))).select(f"{P}of", f"{P}start", f"{P}end")
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", separator: str = "\n", min_words: int = MIN_WORDS) -> DataFrame:
     """docs with the remaining text in `text` and the removed spans in __cv_starts and __cv_ends (null: none)."""
     docs = numbered(docs)
-    spans = materialise(removed_spans(docs, key, text, separator, min_words), "unit-spans")
+    with scratch(docs.sparkSession):
+        spans = materialise(removed_spans(docs, key, text, separator, min_words), "unit-spans", keep=True)
     return with_spans(docs, spans).withColumn(f"{P}chars", F.length(text)).withColumn(text, F.when(F.col(f"{P}starts").isNull(), F.col(text)).otherwise(without_spans(F.col(text), F.col(f"{P}starts"), F.col(f"{P}ends")))).drop(f"{P}uid")
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import P, materialise, new_folder
+from .common import P, materialise, new_folder, ship
 
 #: Fixed values of the format.
 MAGIC = "WARC/1.0\r\n"
@@ -173,6 +173,7 @@ def read(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     path = new_folder(spark, "warc")
     write(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
     r = read(spark, path)
