@@ -17,31 +17,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import bpe, chunk_dedup, langid, mixing, near_dedup
-from corvane.llm.common import P, documents, materialise
+from corvane.llm.common import P, documents, materialise, ship
 
 MIN_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     found = langid.identify(docs, langid.fit(docs)).filter((F.col(f"{P}lang_pred") != langid.UND) & (F.col(f"{P}score") >= MIN_SCORE))
     return found.withColumn("lang", F.coalesce("lang", f"{P}lang_pred")).select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     done = chunk_dedup.deduplicate(docs)
     changed = F.col(f"{P}starts").isNotNull()
     return done.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return near_dedup.deduplicate(docs).filter(f"{P}stays").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return mixing.mixed(docs)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return bpe.tokens(docs, bpe.vocabulary(), ["doc_id", "lang", "source"])
 
 
