@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.functions import scalar as S
+from corvane.tables import new_folder
 
 #: Names of annotation files, image suffixes.
 ANNOTATION_FILES = ("_annotations.coco.json", "_annotations.coco-segmentation.json", "_annotations.json")
@@ -19,11 +20,28 @@ COCO = (
 )
 
 
+def _staged(spark: SparkSession, path: str, names: tuple[str, ...]) -> DataFrame:
+    """Files of these names below path as (doc, value). Spark's scans skip names with a leading underscore, so they are copied under others, by the file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root, to = jvm.org.apache.hadoop.fs.Path(path), new_folder(spark, "documents")
+    fs = root.getFileSystem(conf)
+    target = jvm.org.apache.hadoop.fs.Path(to)
+    target.getFileSystem(conf).mkdirs(target)
+    files, found = fs.listFiles(root, True), []
+    while files.hasNext():
+        f = files.next().getPath()
+        if f.getName() in names:
+            found.append((f"{len(found):08d}.json", f.toString()))
+            jvm.org.apache.hadoop.fs.FileUtil.copy(fs, f, target.getFileSystem(conf), jvm.org.apache.hadoop.fs.Path(f"{to}/{found[-1][0]}"), False, conf)
+    if not found:
+        raise FileNotFoundError(f"no annotation document below {path}")
+    text = spark.read.text(to, wholetext=True).select(S.basename(F.col("_metadata.file_path")).alias("copy"), "value")
+    return text.join(F.broadcast(spark.createDataFrame(found, "copy string, doc string")), "copy").select("doc", "value")
+
+
 def coco(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Images, annotations and categories of all annotation documents below path, each with the document's path."""
-    glob = "{" + ",".join(ANNOTATION_FILES) + "}"
-    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)
-    docs = text.select(F.col("_metadata.file_path").alias("doc"), F.from_json(S.strip_bom(F.col("value")), COCO).alias("d"))
+    docs = _staged(spark, path, ANNOTATION_FILES).select("doc", F.from_json(S.strip_bom(F.col("value")), COCO).alias("d"))
     images = docs.select("doc", F.posexplode("d.images").alias("pos", "i")).select("doc", "pos", "i.*").filter(S.blank_to_null(F.col("file_name")).isNotNull())
     annotations = docs.select("doc", F.posexplode("d.annotations").alias("ann_pos", "a")).select("doc", "ann_pos", "a.*").withColumn("polygons", polygons())
     categories = docs.select("doc", F.explode("d.categories").alias("c")).select("doc", "c.id", S.blank_to_null(F.col("c.name")).alias("name"))
