@@ -119,3 +119,40 @@ def resolve_members(requests: DataFrame, members: DataFrame) -> DataFrame:
     loose = by_name.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("found").alias("only"), F.count_if(below).alias("k"), F.min(F.when(below, F.col("found"))).alias("near"))
     j = requests.join(direct, "id", "left").join(loose, "id", "left")
     return j.select("id", F.coalesce("direct", F.when(F.col("n") == 1, F.col("only")), F.when(F.col("k") == 1, F.col("near"))).alias("member"))
+
+
+def group_inputs(children: DataFrame, explicit: DataFrame | None = None) -> DataFrame:
+    """grp and input of every group: an explicit path, else the only child (name) that starts with the group's code or is one of its aliases.
+
+    The result fails where a group has no input or several; evaluation is lazy, as for any frame.
+    """
+    from corvane.functions.config import groups
+
+    g = groups(children.sparkSession).select("grp", "aliases")
+    fits = F.startswith(F.col("name"), F.col("grp")) | F.array_contains("aliases", F.col("name"))
+    found = F.broadcast(g).join(children, fits, "left").groupBy("grp").agg(F.count("name").alias("n"), F.min("name").alias("only"))
+    if explicit is None:
+        explicit = children.sparkSession.createDataFrame([], "grp string, input string")
+    j = found.join(explicit, "grp", "left")
+    wrong = F.raise_error(F.concat(F.lit("group "), F.col("grp"), F.lit(": inputs found: "), F.col("n").cast("string")))
+    return j.select("grp", F.coalesce("input", F.when(F.col("n") == 1, F.col("only")), F.when(F.col("n") != 1, wrong.cast("string"))).alias("input"))
+
+
+def image_paths(requests: DataFrame, files: DataFrame) -> DataFrame:
+    """requests (id, dir, file_name) with the first of four paths that is among files (path)."""
+    name = F.col("file_name")
+    tried = F.array(F.concat("dir", F.lit("/"), name), F.concat("dir", F.lit("/images/"), name), F.concat("dir", F.lit("/"), S.basename(name)), F.concat("dir", F.lit("/images/"), S.basename(name)))
+    hits = requests.select("id", F.posexplode(tried).alias("p", "candidate")).join(files.select(F.col("path").alias("candidate")), "candidate")
+    return requests.join(hits.groupBy("id").agg(F.min_by("candidate", "p").alias("path")), "id", "left").select("id", "path")
+
+
+def records(images: DataFrame, lines: DataFrame, limit: int | None = None) -> DataFrame:
+    """Images (stem, file_name, ...) with their group and label lines in order; images without a label file have none."""
+    per = lines.groupBy("stem").agg(F.transform(F.sort_array(F.collect_list(F.struct("line_number", "line"))), lambda x: x["line"]).alias("lines"))
+    r = images.join(per, "stem", "left").withColumn("lines", F.coalesce("lines", F.array().cast("array<string>"))).withColumn("grp", S.group_from_name(F.col("file_name")))
+    return r.orderBy("file_name").limit(limit) if limit else r
+
+
+def subset(images: DataFrame, lines: DataFrame, grp: str) -> DataFrame:
+    """Records of one group, by its file name prefix; empty where it has none."""
+    return records(images.filter(F.startswith(F.col("file_name"), F.lit(f"g{grp}_"))), lines)

@@ -86,3 +86,27 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.sql("select * from firsts").count() == 3
+
+
+def test_group_inputs(spark):
+    import pytest
+
+    names = ["01_a", "02_Alley_Context", "03_x", "04_y", "05_Real_Situation"]
+    children = spark.createDataFrame([(n,) for n in names], "name string")
+    assert {r.grp: r.input for r in readers.group_inputs(children).collect()} == {n[:2]: n for n in names}
+    explicit = spark.createDataFrame([("01", "/elsewhere")], "grp string, input string")
+    more = children.union(spark.createDataFrame([("01_b",)], "name string"))
+    assert {r.grp: r.input for r in readers.group_inputs(more, explicit).collect()}["01"] == "/elsewhere"
+    with pytest.raises(Exception, match="group 01"):
+        readers.group_inputs(more).collect()
+
+
+def test_paths_records_and_subsets(spark):
+    files = spark.createDataFrame([("d/images/a.jpg",), ("d/b.jpg",), ("d/x/c.jpg",)], "path string")
+    asked = spark.createDataFrame([(1, "d", "a.jpg"), (2, "d", "x/b.jpg"), (3, "d", "x/c.jpg"), (4, "d", "no.jpg")], "id int, dir string, file_name string")
+    assert {r.id: r.path for r in readers.image_paths(asked, files).collect()} == {1: "d/images/a.jpg", 2: "d/b.jpg", 3: "d/x/c.jpg", 4: None}
+    images = spark.createDataFrame([("g01_000001", "g01_000001.jpg"), ("g02_000001", "g02_000001.jpg"), ("z", "z.jpg")], "stem string, file_name string")
+    lines = spark.createDataFrame([("g01_000001", 2, "b"), ("g01_000001", 1, "a")], "stem string, line_number int, line string")
+    assert {r.stem: (r.grp, r.lines) for r in readers.records(images, lines).collect()} == {"g01_000001": ("01", ["a", "b"]), "g02_000001": ("02", []), "z": ("unknown", [])}
+    assert [r.stem for r in readers.records(images, lines, 2).collect()] == ["g01_000001", "g02_000001"]
+    assert [r.stem for r in readers.subset(images, lines, "02").collect()] == ["g02_000001"] and readers.subset(images, lines, "05").isEmpty()
