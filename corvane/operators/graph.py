@@ -11,19 +11,27 @@ from corvane.tables import materialise, scratch
 def components(edges: DataFrame) -> DataFrame:
     """edges (a, b) -> (node, label), label being the least node of the component.
 
-    Each round takes the least label among the neighbours and then jumps to that label's own label, so a chain halves in length each
-    round. Rounds are written to the shared folder; only whether anything changed comes back to the driver.
+    In each round every node points to its least neighbour, or to itself if that is no less; pointers are doubled until all of them
+    end at such a local minimum, and the edges between different minima are what the next round works on, half of the nodes at
+    most. Rounds are written to the shared folder; only whether anything is left comes back to the driver.
     """
     with scratch(edges.sparkSession):
-        both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
-        both = materialise(both, "edges")
-        labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
-        while True:
-            near = both.join(labels.withColumnRenamed("node", "n").hint("merge"), F.col("b") == F.col("n")).groupBy("a").agg(F.min("label").alias("least"))
-            new = labels.join(near.hint("merge"), F.col("node") == F.col("a"), "left").select("node", F.col("label").alias("old"), F.least("label", "least").alias("label"))
-            jump = labels.select(F.col("node").alias("n"), F.col("label").alias("further"))
-            new = new.join(jump.hint("merge"), F.col("label") == F.col("n"), "left").select("node", "old", F.least("label", "further").alias("label"))
-            new = materialise(new, "labels")
-            labels = new.select("node", "label")
-            if new.filter("old <> label").isEmpty():
-                return materialise(labels, "components", keep=True)
+        left = materialise(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
+        labels = None
+        while labels is None or not left.isEmpty():
+            both = left.union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            ends = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("up")), "pointers")
+            while True:
+                further = ends.select(F.col("node").alias("n"), F.col("up").alias("end")).hint("merge")
+                jumped = materialise(ends.join(further, F.col("up") == F.col("n")).select("node", F.col("up").alias("was"), F.col("end").alias("up")), "pointers")
+                ends = jumped.select("node", "up")
+                if jumped.filter("was <> up").isEmpty():
+                    break
+            of = lambda side: ends.select(F.col("node").alias(f"n{side}"), F.col("up").alias(f"u{side}")).hint("merge")
+            moved = left.join(of("a"), F.col("a") == F.col("na")).join(of("b"), F.col("b") == F.col("nb")).filter("ua <> ub")
+            left = materialise(moved.select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct(), "edges")
+            if labels is None:
+                labels = ends.select("node", F.col("up").alias("label"))
+            else:
+                labels = materialise(labels.join(of("l"), F.col("label") == F.col("nl"), "left").select("node", F.coalesce("ul", "label").alias("label")), "labels")
+        return materialise(labels, "components", keep=True)
