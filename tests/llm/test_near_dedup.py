@@ -87,7 +87,7 @@ def test_signatures_do_not_depend_on_the_batch():
 
 
 def test_chains_are_one_component(spark):
-    from corvane.llm.components import components
+    from corvane.operators.graph import components
 
     edges = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(200, 201), (7, 7)], "a long, b long")
     labels = {r.node: r.label for r in components(edges).collect()}
