@@ -64,7 +64,7 @@ class _Hashes(dict):
     def __missing__(self, w: bytes) -> int:
         import xxhash
 
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         h = xxhash.xxh3_64_intdigest(w)
         if len(w) <= 40:
