@@ -28,7 +28,7 @@ from .common import documents
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 LONG = 64
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 CACHED_BYTES = 64
 NONE = 1 << 60
 
