@@ -110,7 +110,7 @@ def clip_edge(pts: Column, axis: str, bound: Column, keep_above: bool) -> Column
 
         return F.flatten(F.transform(p, corner))
 
-    return F.when(F.size(pts) > 0, let(pts, of)).otherwise(pts)
+    return let(pts, of)
 
 
 def registered(spark) -> None:
