@@ -40,18 +40,15 @@ def _anchors(piece: Column) -> Column:
     last = K - S
 
     def chosen(h: Column) -> Column:
-        def edge(i: Column) -> Column:
-            def outside(m: Column) -> Column:
-                hit = F.lit(False)
-                for j in range(last - 1, 0, -1):
-                    hit = (F.get(h, i + j) < m) | hit
-                return ~hit
-
-            return let(F.least(F.get(h, i), F.get(h, i + last)), outside)
-
-        kept = F.filter(F.sequence(F.lit(0), F.size(h) - (last + 1)), edge)
-        marks = F.transform(kept, lambda i: F.xxhash64(F.get(h, i), F.get(h, i + S), F.get(h, i + 2 * S)).bitwiseAND(F.lit(0xFFFFFFFF)))
-        return F.slice(F.sort_array(F.array_distinct(marks)), 1, SIZE)
+        def mark(first: Column, i: Column) -> Column:
+            final = F.get(h, i + last)
+            no_edge = final.isNull()  # the last s-mers start no k-mer
+            for j in range(last - 1, 0, -1):
+                inner = F.get(h, i + j)
+                no_edge = ((inner < first) & (inner < final)) | no_edge
+            return F.when(~no_edge, F.xxhash64(first, F.get(h, i + S), F.get(h, i + 2 * S)).bitwiseAND(F.lit(0xFFFFFFFF)))
+
+        return F.slice(F.sort_array(F.array_distinct(F.array_compact(F.transform(h, mark)))), 1, SIZE)
 
     none = F.array().cast("array<bigint>")
     smers = F.transform(F.regexp_extract_all(piece, F.lit(f"(?s)(?=(.{{{S}}}))"), F.lit(1)), lambda x: F.xxhash64(x))
