@@ -9,12 +9,12 @@ exceed the largest of the document's `COMPONENTS` minima, and for all documents
 
 Documents with equal word sequences are one class, of which only the first goes on. Signatures are cut into `BANDS` bands; documents that share a band's
 value are candidates. In each band value's group, hubs are compared with all others: the two documents that share most band
-values with others (the text that the others were made from, as a rule) and two more by hash, other ones in each group. Groups of up
-to five are compared completely; in larger ones work stays linear, where all pairs would not. A pair is compared by
+values with others (the text that the others were made from, as a rule) and two more by hash, other ones in each group. A pair is compared by
 one-byte signatures first (agreement of less than `LEAST_AGREEMENT`, more than five standard deviations below the threshold, is dropped)
-and then by the exact overlap of the two multisets of the whole texts. Linked documents form components. A pair of a
-large group is found directly if one of them is a hub in one of the groups they share (about 13 of 32 at the threshold), or through others; README.md
-has the measured share of links between components that this misses.
+and then by the exact overlap of the two multisets of the whole texts. Linked documents form components. Hubs join most of a group
+in linear work; they settle nothing for two documents that are still in different components and neither of which was a hub. So in groups that still hold
+several components all other members are compared too, in blocks of `BLOCK` documents or `BLOCK_CHARS` characters, block against block, each pair in the
+first band that it shares. So every pair of candidates is compared, or is in one component already.
 
 Defined cases: texts without words (null, empty, white space) are never linked; a text of one to four words is one shingle;
 repeated rows are duplicates of each other; ids rank in ascending order with null last; an empty table gives no rows;
@@ -170,6 +170,8 @@ _SIGNED = T.StructType([
 ])
 #: Words signed at a time.
 AT_ONCE = 150_000
+#: Documents and characters in a block of a group's members, and shingles compared with a document at a time.
+BLOCK, BLOCK_CHARS, ELEMENTS = 1024, 8_000_000, 1_000_000
 
 
 def _sign(batches: Iterator) -> Iterator:
@@ -220,6 +222,103 @@ def _verify(threshold: float):
     return run, schema
 
 
+def elements(bag: np.ndarray) -> np.ndarray:
+    """A sorted bag as a sorted set: equal hashes are told apart by their number, so bags overlap as their sets do."""
+    if not len(bag):
+        return bag
+    at = np.arange(len(bag))
+    first = np.maximum.accumulate(np.where(np.append(True, bag[1:] != bag[:-1]), at, 0))
+    return np.sort(mix(bag + STEP * (at - first).astype(U)))
+
+
+def _compare_blocks(threshold: float):
+    """(a, b): components that a pair of the group's members links. Rows are sorted by group and pair of blocks."""
+    schema = "a long, b long"
+
+    def links(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        band, i, j = rows[0][1:4]
+        side = np.array([r[4] for r in rows])
+        comp = np.array([r[5] for r in rows])
+        signed = np.array([r[6] for r in rows], np.int8)
+        shared = np.array([r[7] for r in rows], np.int64)
+        up, sets = {int(c): int(c) for c in comp}, {}
+
+        def root(c):
+            while up[c] != c:
+                up[c] = up[up[c]]
+                c = up[c]
+            return c
+
+        def of(k):
+            if k not in sets:
+                sets[k] = elements(shingles(word_hashes(rows[k][8].encode("utf-8", "surrogatepass"))))
+            return sets[k]
+
+        right = np.flatnonzero(side == j)
+        for k in np.flatnonzero(side == i):
+            others = right[right > k] if i == j else right
+            others = others[comp[others] != comp[k]]
+            others = others[(signed[others] == signed[k]).sum(1) >= LEAST_AGREEMENT * COMPONENTS]
+            # A pair is compared in the first band that it shares only.
+            others = others[(shared[others] == shared[k]).argmax(1) == band]
+            others = [o for o in others if root(int(comp[o])) != root(int(comp[k]))]
+            own = of(k) if others else None
+            at = 0
+            while at < len(others):
+                some, held = [], 0
+                while at < len(others) and (not some or held < ELEMENTS):
+                    some.append(others[at])
+                    held += len(of(others[at]))
+                    at += 1
+                n = np.array([len(of(o)) for o in some])
+                every = np.concatenate([of(o) for o in some])
+                found = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
+                common = np.add.reduceat(found.astype(np.int64), np.append(0, np.cumsum(n)[:-1]))
+                for o in np.flatnonzero(common / (n + len(own) - common) >= threshold):
+                    a, b = root(int(comp[k])), root(int(comp[some[o]]))
+                    if a != b:
+                        up[a] = b
+                        yield a, b
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def out(rows):
+            found = list(links(rows))
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        rows: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if rows and rows[0][:4] != row[:4]:
+                    yield out(rows)
+                    rows = []
+                rows.append(row)
+        if rows:
+            yield out(rows)
+
+    return run, schema
+
+
+def _rest_of_groups(docs: DataFrame, text: str, live: DataFrame, hubs: DataFrame, labels: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links between components that no hub has shown, from all pairs of the other members of groups with several components."""
+    own = hubs.select(F.col("bucket").alias("g"), "hub").hint("merge")
+    rest = live.select("bucket", "i", "uid").join(own, (F.col("bucket") == F.col("g")) & (F.col("uid") == F.col("hub")), "left_anti")
+    rest = rest.join(labels.hint("merge"), F.col("uid") == F.col("node"), "left").select("bucket", "i", "uid", F.coalesce("label", "uid").alias("comp"))
+    several = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket")
+    rest = materialise(rest.join(several.hint("merge"), "bucket", "left_semi"), "rest")
+    ids = rest.select("uid").distinct()
+    size = docs.select(F.col(f"{P}uid").alias("d"), F.col(text).alias("t"), F.length(text).cast("long").alias("chars")).join(ids.hint("merge"), F.col("d") == F.col("uid"), "left_semi")
+    size = reps.select("uid", "bytes", "bands").join(size.hint("merge"), F.col("uid") == F.col("d")).drop("d")
+    size = materialise(size, "rest-texts")
+    measured = rest.join(size.select("uid", "chars").hint("merge"), "uid").groupBy("bucket").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("chars") / BLOCK_CHARS), F.lit(1)).cast("int").alias("blocks"))
+    dealt = rest.join(measured.hint("merge"), "bucket").withColumn("own", F.pmod(F.xxhash64("uid"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("bucket", F.col("i").alias("band"), F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), F.col("own").alias("side"), "comp", "uid")
+    dealt = dealt.join(size.select("uid", "bytes", "bands", "t").hint("merge"), "uid").select("bucket", "band", "x", "y", "side", "comp", "bytes", "bands", "t")
+    run, schema = _compare_blocks(threshold)
+    return materialise(dealt.repartition("bucket", "band", "x", "y").sortWithinPartitions("bucket", "band", "x", "y").mapInArrow(run, schema), "rest-links")
+
+
 def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(uid, class_uid) of documents with words; class_uid is a member of the class. docs has __cv_uid."""
     signed = materialise(docs.select(F.col(f"{P}uid"), F.col(text)).mapInArrow(_sign, _SIGNED), "signatures")
@@ -227,7 +326,7 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
     member = materialise(signed.select("uid", "digest").join(first.hint("merge"), "digest").select("uid", "rep"), "members")
 
     reps = signed.join(member.filter("uid = rep").select("uid").hint("merge"), "uid", "left_semi")
-    band = reps.select("uid", F.posexplode("bands").alias("i", "v")).select("uid", F.xxhash64("i", "v").alias("bucket"))
+    band = reps.select("uid", F.posexplode("bands").alias("i", "v")).select("uid", "i", F.xxhash64("i", "v").alias("bucket"))
     # Only band values that several documents share; the rest is gone before anything is joined.
     shared = band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     live = materialise(band.join(shared.hint("merge"), "bucket"), "buckets")
@@ -238,7 +337,7 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
     centre, chance = F.struct("rank", "uid"), F.struct(draw.alias("h"), "uid")
     one = ranked.groupBy("bucket").agg(F.min(centre).alias("c"), F.min(chance).alias("a"), F.max(chance).alias("b"))
     two = ranked.join(one.hint("merge"), "bucket").filter(F.col("uid") != F.col("c.uid")).groupBy("bucket").agg(F.min(centre).alias("c2"))
-    hubs = one.join(two.hint("merge"), "bucket").select("bucket", F.explode(F.array_distinct(F.array("c.uid", "c2.uid", "a.uid", "b.uid"))).alias("hub"))
+    hubs = materialise(one.join(two.hint("merge"), "bucket").select("bucket", F.explode(F.array_distinct(F.array("c.uid", "c2.uid", "a.uid", "b.uid"))).alias("hub")), "hubs")
     pairs = live.select("bucket", "uid").join(hubs.hint("merge"), "bucket").filter("uid <> hub").select("uid", "hub").distinct()
     sigs = materialise(reps.select("uid", "bytes").join(degree.select("uid").hint("merge"), "uid", "left_semi"), "candidate-signatures")
     # The signatures are compared in the join itself, so that only pairs worth a look at the texts come out of it.
@@ -253,7 +352,9 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
     both = near.join(texts.select("uid", F.col("text").alias("ta")).hint("merge"), "uid").join(texts.select(F.col("uid").alias("hub"), F.col("text").alias("tb")).hint("merge"), "hub")
     links = materialise(both.select("uid", "hub", "ta", "tb").mapInArrow(run, schema), "links")
     labels = components(links)
-    return member.join(labels.hint("merge"), F.col("rep") == F.col("node"), "left").select("uid", F.coalesce("label", "rep").alias("class_uid"))
+    more = components(_rest_of_groups(docs, text, live, hubs, labels, reps, threshold)).select(F.col("node").alias("from"), F.col("label").alias("to"))
+    found = member.join(labels.hint("merge"), F.col("rep") == F.col("node"), "left").select("uid", F.coalesce("label", "rep").alias("class_uid"))
+    return found.join(more.hint("merge"), F.col("class_uid") == F.col("from"), "left").select("uid", F.coalesce("to", "class_uid").alias("class_uid"))
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

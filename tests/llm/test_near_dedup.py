@@ -92,3 +92,34 @@ def test_chains_are_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(200, 201), (7, 7)], "a long, b long")
     labels = {r.node: r.label for r in components(edges).collect()}
     assert {labels[i] for i in range(101)} == {0} and labels[201] == 200
+
+
+def test_pairs_of_a_large_group_without_a_hub(spark):
+    """Members of a group whose hubs are like none of them are compared in blocks, each pair once, and only links between components come out."""
+    from pyspark.sql import functions as F
+
+    texts = list(variants(40, 200, 1, 5))
+    pairs = [" ".join(f"g{i // 2} {i // 2}t{j}" for j in range(150)) + (" tail" if i % 2 else "") for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts[:1], *pairs])], "__cv_uid long, text string")
+    live = docs.select(F.lit(9).cast("long").alias("bucket"), F.lit(3).alias("i"), F.col("__cv_uid").alias("uid"))
+    signed = [nd.bag_minhash([bag(t)]) for t in [texts[0], *pairs]]
+    shared = [[-i if k < 3 else 7 for k in range(nd.BANDS)] for i in range(61)]
+    reps = spark.createDataFrame([(i, nd.one_byte(s)[0].view(np.int8).tolist(), b) for i, (s, b) in enumerate(zip(signed, shared))], "uid long, bytes array<tinyint>, bands array<long>")
+    hubs = spark.createDataFrame([(9, 0)], "bucket long, hub long")
+    labels = spark.createDataFrame([], "node long, label long")
+    for size in (1024, 7):
+        nd.BLOCK, was = size, nd.BLOCK
+        try:
+            got = nd._rest_of_groups(docs, "text", live, hubs, labels, reps, 0.8).collect()
+        finally:
+            nd.BLOCK = was
+        assert sorted(sorted((r.a, r.b)) for r in got) == [[2 * i + 1, 2 * i + 2] for i in range(30)]
+
+
+def test_elements_overlap_as_bags_do():
+    rng = np.random.default_rng(4)
+    for _ in range(100):
+        x, y = (np.sort(rng.integers(0, 30, n).astype(np.uint64)) for n in rng.integers(1, 80, 2))
+        ex, ey = nd.elements(x), nd.elements(y)
+        common = len(np.intersect1d(ex, ey))
+        assert abs(common / (len(ex) + len(ey) - common) - nd.similarity(x, y)) < 1e-12
