@@ -1,4 +1,11 @@
-"""Line dedup over content-defined chunks of lines.
+"""Line dedup over content-defined chunks of lines, and over all runs of lines.
+
+`runs` is the whole job, and what the registered query does (the pipeline's stage goes by chunks alone): each two neighbouring lines are one piece, so any run of two
+lines or more that an earlier place has is found whole, wherever chunk boundaries fall. Pieces are handled as chunks
+are below; one that overlaps its first occurrence stays, and the overlapping spans of a document are joined. A line is removed only if
+it is equal to an earlier one, so the first occurrence of each line stays.
+
+Without `runs`, by chunks alone:
 
 Each line is hashed. A rolling hash over the hashes of the last `WINDOW` lines chooses the chunk boundaries (one in
 `ONE_IN`), so lines inserted or deleted anywhere move only the boundaries near them. Chunks of two lines or more are
@@ -7,14 +14,15 @@ of the first one (least id, row, offset), and occurrences that are equal are rem
 
 Counts are summed in each task before they are shuffled; texts of chunks are joined, never gathered by group.
 
-Defined cases: null and empty texts stay as they are; single-line chunks and blank chunks (no word) always stay;
+Defined cases: null and empty texts stay as they are; single lines that repeat without a neighbour, single-line chunks and blank
+pieces (no word) always stay;
 texts are read whole at any length; repeated rows count as two documents, of which the first keeps its lines; null ids
 rank last; an empty table gives no rows; other columns pass through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,12 +57,21 @@ def chunks(text: str, window: int = WINDOW, one_in: int = ONE_IN) -> list[tuple[
     return out
 
 
-def _rows(docs: DataFrame, key: str, text: str, window: int, one_in: int, with_text: bool) -> DataFrame:
+def neighbours(text: str) -> list[tuple[int, int, int]]:
+    """(start, end, 2) of each two neighbouring lines; pieces overlap by a line."""
+    at, out, lines = 0, [], text.split("\n")
+    for a, b in zip(lines, lines[1:]):
+        out.append((at, min(at + len(a) + len(b) + 2, len(text)), 2))
+        at += len(a) + 1
+    return out
+
+
+def _rows(docs: DataFrame, key: str, text: str, window: int, one_in: int, with_text: bool, runs: bool) -> DataFrame:
     import xxhash
 
     def each(uid, _, t):
         out = []
-        for s, e, n in chunks(t, window, one_in) if "\n" in t else ():
+        for s, e, n in (neighbours(t) if runs else chunks(t, window, one_in)) if "\n" in t else ():
             piece = t[s:e].rstrip("\n")  # a document's last line has no line end
             if n > 1 and piece.strip():
                 row = (uid, s, e, n, xxhash.xxh3_128_digest(piece.encode("utf-8", "surrogatepass")))
@@ -64,30 +81,40 @@ def _rows(docs: DataFrame, key: str, text: str, window: int, one_in: int, with_t
     return rows_of(docs, key, text, T.StructType(_CHUNK + [T.StructField(f"{P}piece", T.StringType())] * with_text), each)
 
 
-def removed_spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, one_in: int = ONE_IN) -> DataFrame:
-    """(__cv_of, __cv_start, __cv_end, __cv_lines) of the chunks to remove. docs has __cv_uid."""
-    digests = _rows(docs, key, text, window, one_in, False).groupBy(F.col(f"{P}digest").alias(f"{P}d")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    found = _rows(docs, key, text, window, one_in, True).join(materialise(digests, "repeated-chunks").hint("merge"), F.col(f"{P}digest") == F.col(f"{P}d")).drop(f"{P}d")
+def removed_spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, one_in: int = ONE_IN, runs: bool = False) -> DataFrame:
+    """(__cv_of, __cv_start, __cv_end, __cv_lines) of the chunks to remove, with `runs` (__cv_of, __cv_start, __cv_end) of runs of lines. docs has __cv_uid."""
+    digests = _rows(docs, key, text, window, one_in, False, runs).groupBy(F.col(f"{P}digest").alias(f"{P}d")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    found = _rows(docs, key, text, window, one_in, True, runs).join(materialise(digests, "repeated-chunks").hint("merge"), F.col(f"{P}digest") == F.col(f"{P}d")).drop(f"{P}d")
     ranks = docs.select(F.col(f"{P}uid").alias(f"{P}u"), F.col(key).alias(f"{P}rank"))
     found = materialise(found.join(ranks.hint("merge"), F.col(f"{P}of") == F.col(f"{P}u")).drop(f"{P}u"), "chunk-occurrences")
     place = F.struct(F.col(f"{P}rank").isNull().alias("a"), F.col(f"{P}rank").alias("b"), F.col(f"{P}of").alias("c"), F.col(f"{P}start").alias("d"))
     first = found.groupBy(F.col(f"{P}digest").alias(f"{P}d")).agg(F.min(place).alias(f"{P}first"))
-    kept = first.join(found.select(F.col(f"{P}of").alias(f"{P}o"), F.col(f"{P}start").alias(f"{P}s"), F.col(f"{P}piece").alias(f"{P}original")).hint("merge"), (F.col(f"{P}first.c") == F.col(f"{P}o")) & (F.col(f"{P}first.d") == F.col(f"{P}s")))
+    kept = first.join(found.select(F.col(f"{P}of").alias(f"{P}o"), F.col(f"{P}start").alias(f"{P}s"), F.col(f"{P}end").alias(f"{P}e"), F.col(f"{P}piece").alias(f"{P}original")).hint("merge"), (F.col(f"{P}first.c") == F.col(f"{P}o")) & (F.col(f"{P}first.d") == F.col(f"{P}s")))
     others = found.join(kept.hint("merge"), F.col(f"{P}digest") == F.col(f"{P}d"))
     others = others.filter(((F.col(f"{P}of") != F.col(f"{P}o")) | (F.col(f"{P}start") != F.col(f"{P}s"))) & (F.col(f"{P}piece") == F.col(f"{P}original")))
-    return others.select(f"{P}of", f"{P}start", f"{P}end", f"{P}lines")
+    if not runs:
+        return others.select(f"{P}of", f"{P}start", f"{P}end", f"{P}lines")
+    others = others.filter((F.col(f"{P}of") != F.col(f"{P}o")) | (F.col(f"{P}start") >= F.col(f"{P}e"))).select(f"{P}of", f"{P}start", f"{P}end")
+    order = Window.partitionBy(f"{P}of").orderBy(f"{P}start")
+    others = others.withColumn(f"{P}new", F.coalesce((F.col(f"{P}start") > F.lag(f"{P}end").over(order)).cast("int"), F.lit(1)))
+    return others.withColumn(f"{P}run", F.sum(f"{P}new").over(order)).groupBy(f"{P}of", f"{P}run").agg(F.min(f"{P}start").alias(f"{P}start"), F.max(f"{P}end").alias(f"{P}end")).drop(f"{P}run")
 
 
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, one_in: int = ONE_IN) -> DataFrame:
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, one_in: int = ONE_IN, runs: bool = False) -> DataFrame:
     """docs with the remaining text in `text`; __cv_starts and __cv_ends (null: none) hold the removed spans."""
     docs = numbered(docs)
     with scratch(docs.sparkSession):
-        spans = materialise(removed_spans(docs, key, text, window, one_in), "chunk-spans", keep=True)
+        spans = materialise(removed_spans(docs, key, text, window, one_in, runs), "chunk-spans", keep=True)
     return with_spans(docs, spans).withColumn(f"{P}was", F.col(text)).withColumn(text, F.when(F.col(f"{P}starts").isNull(), F.col(text)).otherwise(without_spans(F.col(text), F.col(f"{P}starts"), F.col(f"{P}ends")))).drop(f"{P}uid")
 
 
-def query(spark, sf_dir: str) -> DataFrame:
-    d = deduplicate(documents(spark, sf_dir).select("doc_id", "text"))
+def query(spark, sf_dir: str, runs: bool = False) -> DataFrame:
+    d = deduplicate(documents(spark, sf_dir).select("doc_id", "text"), runs=runs)
     count = lambda c: F.coalesce(F.regexp_count(c, F.lit("\n")), F.lit(0)).cast("long")
     spans = F.coalesce(F.arrays_zip(F.col(f"{P}starts").alias("start"), F.col(f"{P}ends").alias("end")), F.array().cast("array<struct<start:int,end:int>>"))
     return d.select("doc_id", F.coalesce(F.size(f"{P}starts"), F.lit(0)).cast("long").alias("n_removed_chunks"), (count(f"{P}was") - count("text")).alias("n_removed_line_ends"), F.coalesce(F.length(f"{P}was"), F.lit(0)).cast("long").alias("n_chars"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"), F.to_json(spans).alias("removed_spans"))
+
+
+def query_runs(spark, sf_dir: str) -> DataFrame:
+    """The registered query."""
+    return query(spark, sf_dir, runs=True)

@@ -14,7 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_near_dedup": near_dedup.query,
         "op2_substring_dedup": unit_dedup.query,
         "op3_suffix_dedup": suffix_dedup.query,
-        "op4_line_dedup": chunk_dedup.query,
+        "op4_line_dedup": chunk_dedup.query_runs,
         "op5_warc": warc.query,
         "op6_fingerprints": fingerprint.query,
         "op7_quality_rules": quality.query,

@@ -53,3 +53,48 @@ def test_awkward_rows(spark, tmp_path):
 
 def test_empty_table(spark, tmp_path):
     assert check(spark, helpers.write(helpers.empty(spark), tmp_path)) == []
+
+
+def brute_runs(rows):
+    """By all pairs of neighbouring lines, line by line."""
+    seen, out = {}, []
+    for at, (doc_id, text) in enumerate(rows):
+        lines = (text or "").split("\n")
+        gone = set()
+        for i in range(len(lines) - 1):
+            piece = f"{lines[i]}\n{lines[i + 1]}".rstrip("\n")
+            if piece.strip():
+                first = seen.setdefault(piece, (at, i))
+                if first != (at, i) and (first[0] != at or i >= first[1] + 2):
+                    gone |= {i, i + 1}
+        kept = "".join(x + "\n" * (i < len(lines) - 1) for i, x in enumerate(lines) if i not in gone)
+        out.append((doc_id, hashlib.sha256(kept.encode()).hexdigest()))
+    return out
+
+
+def check_runs(spark, folder):
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0))
+    got = chunk_dedup.query_runs(spark, folder).collect()
+    assert sorted(map(repr, ((r.doc_id, r.kept_sha256) for r in got))) == sorted(map(repr, brute_runs(rows)))
+    for r in got:
+        spans = json.loads(r.removed_spans)
+        assert all(a["end"] < b["start"] for a, b in zip(spans, spans[1:])) and r.n_chars - r.n_kept_chars == sum(x["end"] - x["start"] for x in spans)
+    return got
+
+
+def test_runs_equal_brute_force(spark, sf):
+    assert any(r.n_removed_chunks for r in check_runs(spark, sf))
+
+
+def test_registered_query_misses_no_run(spark, tmp_path):
+    """Runs of two lines and more between own lines, at each place in a text, go whole; the chunk rule alone leaves most of them."""
+    from corvane.llm import registry
+
+    assert chunk_dedup.query_runs in registry.queries().values()
+    runs = [[f"run {i} line {j} says something" for j in range(2 + i % 4)] for i in range(40)]
+    texts = ["\n".join([f"own {i} {k}", *r, f"end {i} {k}"]) for k in range(2) for i, r in enumerate(runs)]
+    texts += ["again\nagain\nagain\nagain\nagain", "x\ny\nx\ny\nx\ny", "\n".join(runs[3]) + "\n", "\n".join(runs[3])]
+    folder = helpers.write(helpers.table(spark, [*helpers.ROWS, *((20 + i, t, None, None, None, 1, "", 1) for i, t in enumerate(texts))]), tmp_path)
+    got = {r.doc_id: r for r in check_runs(spark, folder)}
+    assert all(got[60 + i].n_kept_chars == len(f"own {i} 1\nend {i} 1") for i in range(40))
