@@ -5,7 +5,8 @@ form, lower case, white space collapsed, punctuation at its edges dropped) and h
 documents with partial sums in each task; the occurrence with the least (id, row, offset) stays, all others are
 removed, and their original character offsets [start, end) are kept beside the remaining text.
 
-Units of fewer than `min_words` words, such as blank lines, headings and short sentences, repeat by chance and always stay.
+Units of fewer than `min_words` words always stay; by default these are only the units without a word, such as blank lines. Short lines
+(verse, lists, code, scripts without spaces, which count as one word) take part like all others.
 
 Defined cases: null and empty texts have no units and stay as they are; texts are read whole at any length;
 repeated rows count as two documents, of which the first keeps its units; null ids rank last; an empty table gives
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from .common import P, documents, materialise, scratch
 from .spans import numbered, rows_of, with_spans, without_spans
 
-MIN_WORDS = 8
+MIN_WORDS = 1
 
 _UNIT = T.StructType([
     T.StructField(f"{P}of", T.LongType()), T.StructField(f"{P}start", T.IntegerType()), T.StructField(f"{P}end", T.IntegerType()), T.StructField(f"{P}digest", T.BinaryType()),
@@ -51,7 +52,7 @@ def units(docs: DataFrame, key: str, text: str, separator: str, min_words: int)
         out = []
         for s, e in split_units(t, separator):
             u = normalise(t[s:e])
-            if u.count(" ") + 1 >= min_words:
+            if len(u.split()) >= min_words:
                 out.append((uid, s, e, hashlib.blake2b(u.encode("utf-8", "surrogatepass"), digest_size=16).digest()))
         return out
 

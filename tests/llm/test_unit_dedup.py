@@ -47,3 +47,11 @@ def test_empty_table(spark, tmp_path):
 def test_columns_pass_through(spark, tmp_path):
     docs = spark.read.parquet(f"{helpers.write(helpers.table(spark), tmp_path)}/documents.parquet")
     assert set(docs.columns) < set(unit_dedup.deduplicate(docs).columns)
+
+
+def test_short_lines_and_unspaced_scripts_go(spark, tmp_path):
+    verse = "\n".join(f"short line {i}" for i in range(30))
+    texts = [f"first\n{verse}\n", f"second\n{verse}\n", "甲\n日本語の長い一行には空白がありません\n", "乙\n日本語の長い一行には空白がありません\n", "-\n- -\n\n", "-\n- -\n\n"]
+    rows = [(20 + i, t, None, None, None, 1, "", 1) for i, t in enumerate(texts)]
+    got = {r[0]: r[2] for r in check(spark, helpers.write(helpers.table(spark, rows), tmp_path))}
+    assert [got[20 + i] for i in range(6)] == [texts[0], "second\n", texts[2], "乙\n", texts[4], texts[5]]
