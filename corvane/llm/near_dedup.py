@@ -365,6 +365,8 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         place = F.struct(F.col("rank").isNull().alias("a"), F.col("rank").alias("b"), F.col("uid").alias("c"))
         ranked = found.join(docs.select(F.col(f"{P}uid").alias("u"), F.col(key).alias("rank")).hint("merge"), F.col("uid") == F.col("u"))
         head = ranked.groupBy("class_uid").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+        # Written first, so that the next join has shuffles of its own and Spark splits the partitions of large classes.
+        head = materialise(head.select("class_uid", "first", "n"), "heads")
         of = materialise(found.join(head.hint("merge"), "class_uid").select(F.col("uid").alias(f"{P}of"), F.col("first.b").alias(f"{P}first"), F.col("first.c").alias(f"{P}head"), F.col("n").alias(f"{P}n")), "classes-of", keep=True)
     out = docs.join(of.hint("merge"), F.col(f"{P}uid") == F.col(f"{P}of"), "left")
     alone = F.col(f"{P}of").isNull()

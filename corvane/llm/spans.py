@@ -8,15 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import P
+from .common import P, materialise, ship
 
 #: Texts turned into Python strings at a time.
 AT_ONCE = 128
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """docs with __cv_uid, equal in each evaluation of the same scan. docs: a table read from files, not a shuffle's output."""
-    return docs.withColumn(f"{P}uid", F.monotonically_increasing_id())
+    """docs with __cv_uid, written once to the shared folder.
+
+    A number that a plan computes anew in each job depends on how the scan was split, and that on the cores there are at that moment. So all jobs
+    of an operator read the written number, whatever happens to the executors between them.
+    """
+    ship(docs.sparkSession)
+    return materialise(docs.withColumn(f"{P}uid", F.monotonically_increasing_id()), "numbered")
 
 
 def rows_of(docs: DataFrame, key: str, text: str, schema: T.StructType, each: Callable[[int, object, str], list[tuple]]) -> DataFrame:

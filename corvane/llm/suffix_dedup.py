@@ -4,18 +4,22 @@ A byte goes if a string of `length` bytes that covers it starts anywhere else to
 
 Candidates. Every start p of such a string takes the least hash of the grams of `GRAM` bytes inside the string as its id (winnowing), so equal
 strings have equal ids. Consecutive starts with one id form a run; its piece is all bytes its strings cover. Runs whose id occurs
-once are done. Of the rest, runs of equal pieces are merged and counted, so a passage copied thousands of times goes on as one piece:
-all strings of a piece that occurs twice are repeated.
+once are done. Of the rest, runs of equal pieces (by id and 128-bit digest) are one piece with a count, so a passage copied thousands of times goes on once.
 
-Suffix arrays. Different pieces with one id are what is left to compare. They are gathered by id, some ids at a time, parsed into
+Suffix arrays. The pieces are gathered by id, some ids at a time, parsed into
 chunks at anchors that depend only on the bytes that follow (a gram hash, and every position of a longer gap), and the chunks are
 numbered in byte order. An extended chunk is no prefix of another one, so sequences of numbers compare as the bytes do, and the suffix array of
 the numbers (see suffix.py) is a sparse suffix array of the bytes. With the longest common prefixes of its neighbours, a string's
 class is (bytes before its first anchor, interval of the suffix array that shares the rest): strings are equal if and only
-if their classes are. Bytes before the anchor are compared by 64-bit hash.
+if their classes are. Classes are looked up by hash, and neighbours in that order are compared byte by byte. A string goes if its
+class holds a count of two or more in all, in the same piece, in others, or by the copies that a piece stands for.
 
-An id with more than `MOST_PIECES` different pieces is not brought together: its strings are hashed to 128 bits each and counted
-with partial sums, which needs no group in one task.
+An id with more than `MOST_PIECES` different pieces (a frequent line in ever other surroundings) is not brought together: its strings are grouped by a 128-bit
+digest, with partial sums, which needs no group in one task.
+
+Bytes. What a digest took for a copy is compared with the bytes of what it is a copy of, before anything is cut: neighbouring claims on one
+text are joined, the claimed stretches are cut once each and brought to the documents that claim them. A difference (two texts with one digest) fails the
+job instead of giving a wrong result.
 
 Defined cases: null is the empty text; a text shorter than `length` loses nothing; texts are read whole, long ones in blocks; repeated
 rows are two documents, both of which lose all their long strings; null ids are ids like others; an empty table gives no
@@ -116,8 +120,8 @@ def runs(text: bytes, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[
         yield from zip(least[first].view(np.int64).tolist(), (first + at).tolist(), (last + at + length).tolist())
 
 
-def repeated_starts(pieces: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For each piece, which of its strings of `length` bytes start more than once in all pieces. Pieces: length bytes at least."""
+def repeated_starts(pieces: list[bytes], length: int = LENGTH, counts: list[int] | None = None) -> list[np.ndarray]:
+    """For each piece, which of its strings of `length` bytes start more than once in all pieces, each as often as its count says. Pieces: length bytes at least."""
     sizes = np.array([len(p) for p in pieces])
     ends = np.cumsum(sizes)
     begins = ends - sizes
@@ -164,23 +168,32 @@ def repeated_starts(pieces: list[bytes], length: int = LENGTH) -> list[np.ndarra
     reach, is_regular, limit = at - before - 1, regular[at], end_of[at] - length
     rolling = Rolling(buffer[:n])
     flagged = np.zeros(n, bool)
+    several = np.repeat(np.array(counts or [1] * len(pieces)) > 1, sizes)
     for o in range(GAP + 1):
         ok = np.flatnonzero(((is_regular & (reach >= o)) | (~is_regular & (o == GAP))) & (at - o <= limit))
-        if len(ok) < 2:
+        if not len(ok):
             continue
         interval = np.cumsum(common < length - o)[ok]
         p = at[ok] - o
         keys = mix(rolling.of(p, at[ok]) + mix(interval.astype(U)))
         by = np.argsort(keys)
-        same = keys[by][1:] == keys[by][:-1]
-        flagged[p[by[1:][same]]] = True
-        flagged[p[by[:-1][same]]] = True
+        flagged[p] |= several[p]
+        pairs = np.flatnonzero(keys[by][1:] == keys[by][:-1])
+        for k in range(0, len(pairs), 8192):
+            one, other = p[by[pairs[k : k + 8192]]], p[by[pairs[k : k + 8192] + 1]]
+            equal = (rows[one] == rows[other]).all(1)
+            if not equal.all():
+                raise ValueError("two strings share a 64-bit key")
+            flagged[one] = flagged[other] = True
     return [flagged[b : e - length + 1] for b, e in zip(begins.tolist(), ends.tolist())]
 
 
-_RUN = "id long, piece long, uid long, start long, end long"
-_SPAN = "uid long, start long, end long"
+_RUN = "id long, piece binary, uid long, start long, end long"
 _PIECE = T.StructType([T.StructField("id", T.LongType()), T.StructField("uid", T.LongType()), T.StructField("start", T.LongType()), T.StructField("n", T.LongType()), T.StructField("bytes", T.BinaryType())])
+#: A flagged stretch [s, e) of a piece that starts at base of uid and stands for n.
+_FLAGGED = "uid long, base long, n long, s long, e long"
+#: A stretch of uid that repeats the one at rs of ruid.
+_CLAIM = "uid long, s long, e long, ruid long, rs long"
 
 
 def _bytes(text) -> bytes:
@@ -198,16 +211,17 @@ def _runs(length: int):
         import pyarrow as pa
         import xxhash
 
+        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
         for batch in batches:
             out = []
             for i in range(batch.num_rows):
                 uid, b = batch.column(0)[i].as_py(), _bytes(batch.column(1)[i].as_py())
-                out += [(h, xxhash.xxh3_64_intdigest(b[s:e]) - (1 << 63), uid, s, e) for h, s, e in runs(b, length)]
+                out += [(h, xxhash.xxh3_128_digest(b[s:e]), uid, s, e) for h, s, e in runs(b, length)]
                 if len(out) > 50_000:
-                    yield _emit(out, ["id", "piece", "uid", "start", "end"], [pa.int64()] * 5)
+                    yield _emit(out, ["id", "piece", "uid", "start", "end"], kinds)
                     out = []
             if out:
-                yield _emit(out, ["id", "piece", "uid", "start", "end"], [pa.int64()] * 5)
+                yield _emit(out, ["id", "piece", "uid", "start", "end"], kinds)
 
     return run
 
@@ -230,7 +244,7 @@ def merged(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
 
 
 def _arrays(length: int):
-    """Rows sorted by id in, spans of the pieces that occur once out."""
+    """Rows sorted by id in, flagged stretches of their pieces out."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -239,23 +253,23 @@ def _arrays(length: int):
 
         def flush():
             out = []
-            for (uid, start, n, _), flags in zip(held, repeated_starts([h[3] for h in held], length)):
-                if n == 1:
-                    out += [(uid, start + s, start + e) for s, e in merged(np.flatnonzero(flags), length)]
+            for (uid, start, n, _), flags in zip(held, repeated_starts([h[3] for h in held], length, [h[2] for h in held])):
+                out += [(uid, start, n, s, e) for s, e in merged(np.flatnonzero(flags), length)]
             return out
 
+        names, kinds = ["uid", "base", "n", "s", "e"], [pa.int64()] * 5
         for batch in batches:
             for i in range(batch.num_rows):
                 key, uid, start, n, b = (batch.column(j)[i].as_py() for j in range(5))
                 if key != last and size > ARRAY_BYTES:
                     if out := flush():
-                        yield _emit(out, ["uid", "start", "end"], [pa.int64()] * 3)
+                        yield _emit(out, names, kinds)
                     held, size = [], 0
                 held.append((uid, start, n, b))
                 size += len(b)
                 last = key
         if held and (out := flush()):
-            yield _emit(out, ["uid", "start", "end"], [pa.int64()] * 3)
+            yield _emit(out, names, kinds)
 
     return run
 
@@ -270,34 +284,76 @@ def _strings(length: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 _, uid, start, n, b = (batch.column(j)[i].as_py() for j in range(5))
-                yield _emit([(xxhash.xxh3_128_digest(b[p : p + length]), uid, start + p, n) for p in range(len(b) - length + 1)], ["digest", "uid", "start", "n"], [pa.binary()] + [pa.int64()] * 3)
+                yield _emit([(xxhash.xxh3_128_digest(b[p : p + length]), uid, start, n, p) for p in range(len(b) - length + 1)], ["digest", "uid", "base", "n", "s"], [pa.binary()] + [pa.int64()] * 4)
 
     return run
 
 
+def joined_claims(batches: Iterator) -> Iterator:
+    """(uid, claims of (s, e, ruid, rs)): claims on one text at one distance that touch are one."""
+    import pyarrow as pa
+
+    for batch in batches:
+        out: list[tuple] = []
+        for uid, claims in zip(*(c.to_pylist() for c in batch.columns)):
+            now = None
+            for r, d, s, e in sorted((c["ruid"], c["s"] - c["rs"], c["s"], c["e"]) for c in claims):
+                if now and now[0] == r and now[1] == d and s <= now[3]:
+                    now[3] = max(now[3], e)
+                else:
+                    if now:
+                        out.append((uid, now[2], now[3], now[0], now[2] - now[1]))
+                    now = [r, d, s, e]
+            out.append((uid, now[2], now[3], now[0], now[2] - now[1]))
+        if out:
+            yield _emit(out, ["uid", "s", "e", "ruid", "rs"], [pa.int64()] * 5)
+
+
+def _claimed(batches: Iterator) -> Iterator:
+    """The bytes of the stretches (at, end) that other documents claim to repeat."""
+    import pyarrow as pa
+
+    for batch in batches:
+        for ruid, t, wanted in zip(*(c.to_pylist() for c in batch.columns)):
+            b = _bytes(t)
+            yield _emit([(ruid, w["rs"], w["re"], b[w["rs"] : w["re"]]) for w in wanted], ["ruid", "rs", "re", "original"], [pa.int64()] * 3 + [pa.binary()])
+
+
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
-    """(uid, start, end): byte spans, overlapping, that cover what is to be removed. docs has __cv_uid and is a table read from files."""
+    """(uid, s, e, original): byte spans, overlapping, that cover what is to be removed; original, where not null, is what must stand there. docs has __cv_uid."""
     plain = docs.select(F.col(f"{P}uid").alias("uid"), F.col(text).alias("text"))
     found = lambda: plain.mapInArrow(_runs(length), _RUN)
-    often = found().groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
+    # Tables that others are joined with are written first, so that the joins have shuffles of their own and Spark splits partitions of frequent ids.
+    often = materialise(found().groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id"), "repeated-ids")
     some = materialise(found().join(often.hint("merge"), "id"), "repeated-runs")
     one = F.min(F.struct("uid", "start", "end"))
-    pieces = materialise(some.groupBy("id", "piece").agg(F.count(F.lit(1)).alias("n"), one.alias("first")), "pieces")
-    several = pieces.groupBy("id").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-    left = pieces.join(several.hint("merge"), "id").select("id", "n", "k", "first.*")
-    wanted = left.groupBy(F.col("uid").alias("of")).agg(F.collect_list(F.struct("id", "uid", "start", "n", "end", "k")).alias("wanted"))
+    pieces = materialise(some.groupBy("id", "piece").agg(F.count(F.lit(1)).alias("n"), one.alias("first")).select("id", "piece", "n", "first.*"), "pieces")
+    many = materialise(pieces.groupBy("id").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > MOST_PIECES).select("id", F.lit(True).alias("many")), "large-ids")
+    marked = pieces.join(many.hint("merge"), "id", "left")
+    wanted = marked.groupBy(F.col("uid").alias("of")).agg(F.collect_list(F.struct("id", "uid", "start", "n", "end", F.coalesce("many", F.lit(False)).alias("many"))).alias("wanted"))
     cut = plain.join(wanted.hint("merge"), F.col("uid") == F.col("of"))
-    in_arrays = cut.select("text", F.filter("wanted", lambda w: w["k"] <= MOST_PIECES).alias("wanted")).filter("size(wanted) > 0")
-    by_id = in_arrays.mapInArrow(_cut_pieces, _PIECE)
-    spans = by_id.repartition(F.col("id")).sortWithinPartitions("id").mapInArrow(_arrays(length), _SPAN)
-    whole = some.join(pieces.filter("n > 1").select("id", "piece").hint("merge"), ["id", "piece"]).select("uid", "start", "end")
-    spans = spans.union(whole)
-    if not several.filter(F.col("k") > MOST_PIECES).isEmpty():
-        large = cut.select("text", F.filter("wanted", lambda w: w["k"] > MOST_PIECES).alias("wanted")).filter("size(wanted) > 0")
-        strings = materialise(large.mapInArrow(_cut_pieces, _PIECE).mapInArrow(_strings(length), "digest binary, uid long, start long, n long"), "strings")
-        twice = strings.groupBy("digest").agg(F.sum("n").alias("total")).filter("total > 1").select("digest")
-        spans = spans.union(strings.filter("n = 1").join(twice.hint("merge"), "digest").select("uid", "start", (F.col("start") + length).alias("end")))
-    return spans
+    in_arrays = cut.select("text", F.filter("wanted", lambda w: ~w["many"]).alias("wanted")).filter("size(wanted) > 0")
+    flagged = materialise(in_arrays.mapInArrow(_cut_pieces, _PIECE).repartition(F.col("id")).sortWithinPartitions("id").mapInArrow(_arrays(length), _FLAGGED), "flagged")
+    claims = None
+    if not many.isEmpty():
+        large = cut.select("text", F.filter("wanted", lambda w: w["many"]).alias("wanted")).filter("size(wanted) > 0")
+        strings = materialise(large.mapInArrow(_cut_pieces, _PIECE).mapInArrow(_strings(length), "digest binary, uid long, base long, n long, s long"), "strings")
+        twice = strings.groupBy(F.col("digest").alias("d")).agg(F.sum("n").alias("total"), F.min(F.struct("uid", (F.col("base") + F.col("s")).alias("at"))).alias("first")).filter("total > 1")
+        twice = materialise(twice.select("d", F.col("first.uid").alias("ruid"), F.col("first.at").alias("rs")), "repeated-strings")
+        again = materialise(strings.join(twice.hint("merge"), F.col("digest") == F.col("d")).select("uid", "base", "n", "s", (F.col("s") + length).alias("e"), "ruid", "rs"), "flagged-strings")
+        flagged = flagged.unionByName(again.select("uid", "base", "n", "s", "e"))
+        claims = again.select("uid", (F.col("base") + F.col("s")).alias("s"), (F.col("base") + F.col("e")).alias("e"), "ruid", "rs").filter("uid <> ruid or s <> rs")
+    # The copies that a piece stands for repeat what is flagged in it.
+    stands = pieces.filter("n > 1").select("id", "piece", F.col("uid").alias("ruid"), F.col("start").alias("base"))
+    copies = some.join(stands.hint("merge"), ["id", "piece"]).filter("uid <> ruid or start <> base").select("uid", "start", "ruid", "base")
+    marks = flagged.filter("n > 1").select(F.col("uid").alias("ruid"), "base", "s", "e")
+    copied = materialise(copies, "copies").join(marks.hint("merge"), ["ruid", "base"]).select("uid", (F.col("start") + F.col("s")).alias("s"), (F.col("start") + F.col("e")).alias("e"), "ruid", (F.col("base") + F.col("s")).alias("rs"))
+    claims = copied if claims is None else claims.unionByName(copied)
+    claims = materialise(claims.groupBy("uid").agg(F.collect_list(F.struct("s", "e", "ruid", "rs")).alias("claims")).mapInArrow(joined_claims, _CLAIM), "claims").withColumn("re", F.col("rs") + F.col("e") - F.col("s"))
+    asked = claims.select("ruid", "rs", "re").distinct().groupBy("ruid").agg(F.collect_list(F.struct("rs", "re")).alias("asked"))
+    originals = materialise(asked.join(plain.hint("merge"), F.col("ruid") == F.col("uid")).select("ruid", "text", "asked").mapInArrow(_claimed, "ruid long, rs long, re long, original binary"), "originals")
+    checked = claims.join(originals.hint("merge"), ["ruid", "rs", "re"]).select("uid", "s", "e", "original")
+    return flagged.select("uid", (F.col("base") + F.col("s")).alias("s"), (F.col("base") + F.col("e")).alias("e"), F.lit(None).cast("binary").alias("original")).unionByName(checked)
 
 
 def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -315,7 +371,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", length
     docs = numbered(docs.select(key, text))
     with scratch(docs.sparkSession):
         spans = repeated_spans(docs, text, length)
-        lists = spans.groupBy(F.col("uid").alias(f"{P}of")).agg(F.collect_list("start").alias(f"{P}starts"), F.collect_list("end").alias(f"{P}ends"))
+        lists = spans.groupBy(F.col("uid").alias(f"{P}of")).agg(F.collect_list(F.struct("s", "e", "original")).alias(f"{P}spans"))
         lists = materialise(lists, "removed-bytes", keep=True)
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("starts", T.ArrayType(T.LongType())), T.StructField("ends", T.ArrayType(T.LongType())), T.StructField("kept", T.BinaryType()), T.StructField("n_removed", T.LongType())])
 
@@ -328,15 +384,18 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", length
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 rows = []
-                for t, starts, ends in zip(*(part.column(i).to_pylist() for i in (1, 2, 3))):
-                    b, gone = _bytes(t), union(list(zip(starts or (), ends or ())))
+                for t, spans in zip(*(part.column(i).to_pylist() for i in (1, 2))):
+                    b, spans = _bytes(t), spans or ()
+                    if any(x["original"] is not None and b[x["s"] : x["e"]] != x["original"] for x in spans):
+                        raise ValueError("two texts share a 128-bit digest")
+                    gone = union([(x["s"], x["e"]) for x in spans])
                     edges = [0, *(x for s in gone for x in s), len(b)]
                     rows.append(([s for s, _ in gone], [e for _, e in gone], b"".join(b[s:e] for s, e in zip(edges[::2], edges[1::2])), sum(e - s for s, e in gone)))
                 if rows:
                     yield pa.RecordBatch.from_arrays([part.column(0).cast(to.field(0).type), *(pa.array(x, to.field(i + 1).type) for i, x in enumerate(zip(*rows)))], schema=to)
 
     joined = docs.join(lists.hint("merge"), F.col(f"{P}uid") == F.col(f"{P}of"), "left")
-    return joined.select(key, text, f"{P}starts", f"{P}ends").mapInArrow(run, schema)
+    return joined.select(key, text, f"{P}spans").mapInArrow(run, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

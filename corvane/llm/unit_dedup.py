@@ -27,11 +27,6 @@ from .spans import numbered, rows_of, with_spans, without_spans
 
 MIN_WORDS = 1
 
-_UNIT = T.StructType([
-    T.StructField(f"{P}of", T.LongType()), T.StructField(f"{P}start", T.IntegerType()), T.StructField(f"{P}end", T.IntegerType()), T.StructField(f"{P}digest", T.BinaryType()),
-])
-
-
 def normalise(unit: str) -> str:
     return " ".join((unit if unit.isascii() else unicodedata.normalize("NFKC", unit)).lower().split()).strip(".,;:!?\"'()-")
 
@@ -48,29 +43,29 @@ def split_units(text: str, separator: str = "\n") -> list[tuple[int, int]]:
 
 
 def units(docs: DataFrame, key: str, text: str, separator: str, min_words: int) -> DataFrame:
-    def each(uid, _, t):
+    """(of, rank, start, end, digest) of every unit of min_words words or more; rank is the document's id."""
+    schema = T.StructType([T.StructField("of", T.LongType()), T.StructField("rank", docs.schema[key].dataType), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("digest", T.BinaryType())])
+
+    def each(uid, k, t):
         out = []
         for s, e in split_units(t, separator):
             u = normalise(t[s:e])
             if len(u.split()) >= min_words:
-                out.append((uid, s, e, hashlib.blake2b(u.encode("utf-8", "surrogatepass"), digest_size=16).digest()))
+                out.append((uid, k, s, e, hashlib.blake2b(u.encode("utf-8", "surrogatepass"), digest_size=16).digest()))
         return out
 
-    return rows_of(docs, key, text, _UNIT, each)
+    return rows_of(docs, key, text, schema, each)
 
 
 def removed_spans(docs: DataFrame, key: str, text: str, separator: str = "\n", min_words: int = MIN_WORDS) -> DataFrame:
     """(__cv_of, __cv_start, __cv_end) of all occurrences but the first. docs has __cv_uid."""
     found = units(docs, key, text, separator, min_words)
-    ranks = docs.select(F.col(f"{P}uid").alias(f"{P}of2"), F.col(key).alias(f"{P}rank"))
-    repeated = found.groupBy(f"{P}digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col(f"{P}digest").alias(f"{P}d"))
-    # Only repeated units take part in what follows.
-    some = found.join(materialise(repeated, "repeated-units").hint("merge"), F.col(f"{P}digest") == F.col(f"{P}d")).drop(f"{P}d")
-    some = materialise(some.join(ranks.hint("merge"), F.col(f"{P}of") == F.col(f"{P}of2")).drop(f"{P}of2"), "unit-occurrences")
-    place = F.struct(F.col(f"{P}rank").isNull().alias("a"), F.col(f"{P}rank").alias("b"), F.col(f"{P}of").alias("c"), F.col(f"{P}start").alias("d"))
-    first = some.groupBy(F.col(f"{P}digest").alias(f"{P}d")).agg(F.min(place).alias(f"{P}first"))
-    joined = some.join(first.hint("merge"), F.col(f"{P}digest") == F.col(f"{P}d"))
-    return joined.filter((F.col(f"{P}of") != F.col(f"{P}first.c")) | (F.col(f"{P}start") != F.col(f"{P}first.d"))).select(f"{P}of", f"{P}start", f"{P}end")
+    place = F.struct(F.col("rank").isNull().alias("a"), F.col("rank").alias("b"), F.col("of").alias("c"), F.col("start").alias("d"))
+    first = found.groupBy(F.col("digest").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1")
+    # Written first, so that the join's own shuffles carry nothing but the join and Spark splits the partitions of frequent units.
+    first = materialise(first.select("d", F.col("first.c").alias("fo"), F.col("first.d").alias("fs")), "repeated-units")
+    again = found.join(first.hint("merge"), F.col("digest") == F.col("d")).filter("of <> fo or start <> fs")
+    return again.select(F.col("of").alias(f"{P}of"), F.col("start").alias(f"{P}start"), F.col("end").alias(f"{P}end"))
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", separator: str = "\n", min_words: int = MIN_WORDS) -> DataFrame:

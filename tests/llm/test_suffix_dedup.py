@@ -46,6 +46,9 @@ def test_starts_in_pieces_equal_brute_force():
             counts = Counter(p[i : i + 200] for p in some for i in range(len(p) - 199))
             for p, flags in zip(some, sd.repeated_starts(some)):
                 assert [counts[p[i : i + 200]] > 1 for i in range(len(p) - 199)] == flags.tolist()
+            often = [1 + (i == 3) for i in range(len(some))]
+            for p, flags in zip(some, sd.repeated_starts(some, counts=often)):
+                assert [counts[p[i : i + 200]] > 1 or p[i : i + 200] in some[3] for i in range(len(p) - 199)] == flags.tolist()
 
 
 def test_runs_cover_every_start_once_and_ids_follow_the_string(monkeypatch):
@@ -92,3 +95,25 @@ def test_ids_with_many_pieces(spark, tmp_path, monkeypatch):
 
 def test_empty_table(spark, tmp_path):
     assert check(spark, helpers.write(helpers.empty(spark), tmp_path)) == []
+
+
+def test_a_claim_that_is_wrong_fails(spark, monkeypatch):
+    """A digest that takes two texts for one gives no result."""
+    import pytest
+
+    docs = helpers.table(spark, [(i, x * 300, None, None, None, 1, "", 1) for i, x in enumerate("ab")])
+    numbered = docs.withColumn("__cv_uid", docs.doc_id)
+    wrong = spark.createDataFrame([(1, 0, 250, b"a" * 250)], "uid long, s long, e long, original binary")
+    monkeypatch.setattr(sd, "numbered", lambda d: numbered.select(*d.columns, "__cv_uid"))
+    monkeypatch.setattr(sd, "repeated_spans", lambda *_: wrong)
+    with pytest.raises(Exception, match="128-bit digest"):
+        sd.deduplicate(docs).collect()
+
+
+def test_claims_at_one_distance_are_joined():
+    import pyarrow as pa
+
+    claims = [dict(s=s, e=s + 300, ruid=r, rs=s + d) for r, d in ((7, 50), (7, -3), (8, 50)) for s in (10, 200, 400, 1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([claims])], names=["uid", "claims"])
+    got = {tuple(x.values()) for b in sd.joined_claims([batch]) for x in b.to_pylist()}
+    assert got == {(1, s, e, r, s + d) for r, d in ((7, 50), (7, -3), (8, 50)) for s, e in ((10, 700), (1000, 1300))}
