@@ -11,7 +11,7 @@ chunks at anchors that depend only on the bytes that follow (a gram hash, and ev
 numbered in byte order. An extended chunk is no prefix of another one, so sequences of numbers compare as the bytes do, and the suffix array of
 the numbers (see suffix.py) is a sparse suffix array of the bytes. With the longest common prefixes of its neighbours, a string's
 class is (bytes before its first anchor, interval of the suffix array that shares the rest): strings are equal if and only
-if their classes are. Classes are looked up by hash, and neighbours in that order are compared byte by byte. A string goes if its
+if their classes are. Classes are looked up by hash, and strings of one hash are compared byte by byte. A string goes if its
 class holds a count of two or more in all, in the same piece, in others, or by the copies that a piece stands for.
 
 An id with more than `MOST_PIECES` different pieces (a frequent line in ever other surroundings) is not brought together: its strings are grouped by a 128-bit
@@ -47,7 +47,7 @@ BLOCK = 1 << 20
 ARRAY_BYTES = 1 << 20
 MOST_PIECES = 10_000
 #: Chunks: grams of so many bytes, one in so many an anchor, and all positions after so many without one.
-CHUNK_GRAM, ONE_IN, GAP = 8, 16, 96
+CHUNK_GRAM, ONE_IN, GAP = 8, 40, 160
 
 U = np.uint64
 #: Multipliers of the finaliser, base of the rolling hash.
@@ -175,16 +175,20 @@ def repeated_starts(pieces: list[bytes], length: int = LENGTH, counts: list[int]
             continue
         interval = np.cumsum(common < length - o)[ok]
         p = at[ok] - o
-        keys = mix(rolling.of(p, at[ok]) + mix(interval.astype(U)))
+        keys = mix(mix(rolling.of(p, at[ok])) + interval.astype(U) * U(BASE))
         by = np.argsort(keys)
         flagged[p] |= several[p]
         pairs = np.flatnonzero(keys[by][1:] == keys[by][:-1])
         for k in range(0, len(pairs), 8192):
             one, other = p[by[pairs[k : k + 8192]]], p[by[pairs[k : k + 8192] + 1]]
             equal = (rows[one] == rows[other]).all(1)
-            if not equal.all():
-                raise ValueError("two strings share a 64-bit key")
-            flagged[one] = flagged[other] = True
+            flagged[one[equal]] = flagged[other[equal]] = True
+            if not equal.all():  # different strings with one key, between which equal ones may stand apart
+                among: dict[bytes, list[int]] = {}
+                for x in p[np.isin(keys, keys[by[pairs[k : k + 8192][~equal]]])].tolist():
+                    among.setdefault(rows[x].tobytes(), []).append(x)
+                for x in among.values():
+                    flagged[x] |= len(x) > 1
     return [flagged[b : e - length + 1] for b, e in zip(begins.tolist(), ends.tolist())]
 
 

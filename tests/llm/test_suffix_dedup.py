@@ -117,3 +117,14 @@ def test_claims_at_one_distance_are_joined():
     batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([claims])], names=["uid", "claims"])
     got = {tuple(x.values()) for b in sd.joined_claims([batch]) for x in b.to_pylist()}
     assert got == {(1, s, e, r, s + d) for r, d in ((7, 50), (7, -3), (8, 50)) for s, e in ((10, 700), (1000, 1300))}
+
+
+def test_strings_of_one_key_are_told_apart(monkeypatch):
+    """With a hash that tells next to nothing apart, the bytes decide."""
+    rng = random.Random(4)
+    some = list(pieces(rng, 8, b"abcdefgh "))
+    counts = Counter(p[i : i + 200] for p in some for i in range(len(p) - 199))
+    monkeypatch.setattr(sd.Rolling, "of", lambda self, starts, ends: np.ones(len(starts), np.uint64))
+    monkeypatch.setattr(sd, "BASE", 0)
+    for p, flags in zip(some, sd.repeated_starts(some)):
+        assert [counts[p[i : i + 200]] > 1 for i in range(len(p) - 199)] == flags.tolist()
