@@ -58,7 +58,7 @@ def test_stages(spark, sf):
     out, sizes, taken, rows = stagewise(spark, sf)
     for s, t in test_mixing.brute_targets(sizes).items():
         largest = max(len((r.text or "").split()) for r in rows if r.source == s)
-        assert abs(taken.get(s, 0) - t) <= max(0.1 * t, largest / 2)
+        assert abs(taken.get(s, 0) - t) <= largest / 2
 
     library = Tokenizer.from_file(bpe.vocabulary())
     want = []
