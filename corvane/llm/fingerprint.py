@@ -2,12 +2,20 @@
 
 Of a text's overlapping k-mers of characters (`K` = 15), those are chosen whose least inner s-mer (`S` = 5, by hash) is the first or
 the last. The choice depends on the k-mer alone, so the same passage gives the same anchors in any context, and 10 k-mers in a row
-hold at least one. A text is padded at both ends, so that short ones have anchors too. A fingerprint is the bottom sketch of the anchors: the
-`SIZE` least distinct 32-bit hashes, in order, 8 hexadecimal digits each. Likeness estimates the Jaccard similarity of two texts'
-anchor sets: the share, among the `SIZE` least of both sketches' union, of those in both.
+hold at least one. A text is padded at both ends, so that short ones have anchors too.
 
-s-mers come from one regular expression with a look-ahead group, which costs the same at any place in a text; long texts are worked on in
-pieces of `PIECE` characters (overlapping by k - 1), each reduced to its own bottom sketch, so memory does not grow with the square or even the length of a text.
+An anchor is a long: 32 bits of the k-mer's hash, then its position. `anchors` gives a text's, ordered by hash, the first
+position of each: all of them (`size` None), or a sketch, which is every anchor whose hash is below `1 / ONE_IN` of the range and at least the `SIZE` least. So the
+sketch of a long text grows with it, and the sketch of a short one is all it has. A fingerprint is the sketch as text, 16 hexadecimal digits an
+anchor.
+
+`likeness` estimates the Jaccard similarity of two texts' anchors from the hashes up to which both sketches are whole; it is exact for unbounded ones. `aligned` matches by
+position: shared anchors are joined by hash, and of the distances between their positions in the two texts the most frequent one is returned with its number of
+anchors, which is the longest passage in common that moved as one.
+
+s-mers come from one regular expression with a look-ahead group, which costs the same at any place in a text; their minima over a window come from three
+doublings. Long texts are worked on in
+pieces of `PIECE` characters (overlapping by k - 1), each reduced to its own sketch, so memory does not grow with the square of a text.
 
 Documents follow each other by descending id. Ids are cut into buckets at quantiles that are ids of the table; each bucket
 also gets a copy of the first document of the next one, and the last one of the first document of all. So the successor is
@@ -28,54 +36,107 @@ from .common import P, documents, let, text_of
 S = 5
 K = 15
 SIZE = 64
+#: Share of the range of hashes below which every anchor stays in a sketch.
+ONE_IN = 16
 PIECE = 8192
 PAD = "\x01"
+#: Bits of a position, and of a hash.
+PLACE, HASH = 31, 32
 #: Documents in a bucket, and buckets at most (their bounds are part of the plan).
 BUCKET_ROWS = 2048
 MOST_BUCKETS = 20_000
 
+#: Every s-mer of characters; none starts inside a pair of surrogates, as which the expression sees characters beyond the basic plane.
+SMERS = rf"(?s)(?![\x{{DC00}}-\x{{DFFF}}])(?=(.{{{S}}}))"
+
+
+def hash_of(anchor: Column) -> Column:
+    return F.shiftright(anchor, PLACE)
+
+
+def place_of(anchor: Column) -> Column:
+    return anchor.bitwiseAND(F.lit((1 << PLACE) - 1))
+
+
+def _sketch(found: Column, size: int | None) -> Column:
+    """Of unordered anchors the first of each hash, in order, as many as the sketch has."""
+
+    def of(x: Column) -> Column:
+        return F.filter(x, lambda a, i: (i == 0) | (hash_of(F.get(x, i - 1)) < hash_of(a)))
+
+    firsts = let(F.sort_array(found), of)
+    return firsts if size is None else F.filter(firsts, lambda a, i: (i < size) | (a < F.lit((1 << (PLACE + HASH)) // ONE_IN)))
 
-def _anchors(piece: Column) -> Column:
-    """Bottom sketch (sorted, distinct longs below 2**32) of one piece's closed syncmers."""
+
+def _anchors(piece: Column, at: Column, size: int | None) -> Column:
+    """Sketch of one piece's closed syncmers; at is the piece's place in the text."""
     last = K - S
+    least = lambda x, by: F.zip_with(x, F.slice(x, by + 1, F.size(x)), lambda p, q: F.least(p, q))  # noqa: E731  null at the end counts as nothing
 
     def chosen(h: Column) -> Column:
-        def mark(first: Column, i: Column) -> Column:
-            final = F.get(h, i + last)
-            no_edge = final.isNull()  # the last s-mers start no k-mer
-            for j in range(last - 1, 0, -1):
-                inner = F.get(h, i + j)
-                no_edge = ((inner < first) & (inner < final)) | no_edge
-            return F.when(~no_edge, F.xxhash64(first, F.get(h, i + S), F.get(h, i + 2 * S)).bitwiseAND(F.lit(0xFFFFFFFF)))
+        def mark(eight: Column) -> Column:
+            def one(first: Column, i: Column) -> Column:
+                inner = F.least(F.get(eight, i + 1), F.get(eight, i + 2))  # eight and eight are the nine between the edges
+                edge = F.least(first, F.get(h, i + last))
+                kmer = F.xxhash64(first, F.get(h, i + S), F.get(h, i + 2 * S)).bitwiseAND(F.lit((1 << HASH) - 1))
+                return F.when((i < F.size(h) - last) & (edge <= inner), F.shiftleft(kmer, PLACE).bitwiseOR((at + i).cast("long")))
+
+            return F.array_compact(F.transform(h, one))
 
-        return F.slice(F.sort_array(F.array_distinct(F.array_compact(F.transform(h, mark)))), 1, SIZE)
+        return let(least(least(least(h, 1), 2), 4), mark)
 
     none = F.array().cast("array<bigint>")
-    smers = F.transform(F.regexp_extract_all(piece, F.lit(f"(?s)(?=(.{{{S}}}))"), F.lit(1)), lambda x: F.xxhash64(x))
-    return let(smers, lambda h: F.when(F.size(h) > last, chosen(h)).otherwise(none))
+    smers = F.transform(F.regexp_extract_all(piece, F.lit(SMERS), F.lit(1)), lambda x: F.xxhash64(x))
+    return let(smers, lambda h: F.when(F.size(h) > last, _sketch(chosen(h), size)).otherwise(none))
 
 
-def anchors(text: Column) -> Column:
-    """The fingerprint of a text as a sorted array of longs."""
+def anchors(text: Column, size: int | None = SIZE) -> Column:
+    """The anchors of a text as a sorted array of longs: all with size None, else its sketch."""
     none = F.array().cast("array<bigint>")
 
     def whole(t: Column) -> Column:
         starts = F.sequence(F.lit(0), F.length(t) - K, F.lit(PIECE))
-        parts = F.transform(starts, lambda at: _anchors(F.substring(t, at + 1, F.lit(PIECE + K - 1))))
-        return F.when(F.length(t) <= PIECE + K - 1, _anchors(t)).otherwise(F.slice(F.sort_array(F.array_distinct(F.flatten(parts))), 1, SIZE))
+        parts = F.transform(starts, lambda at: _anchors(F.substring(t, at + 1, F.lit(PIECE + K - 1)), at, size))
+        return F.when(F.length(t) <= PIECE + K - 1, _anchors(t, F.lit(0), size)).otherwise(_sketch(F.flatten(parts), size))
 
     return F.when(F.length(text) > 0, let(F.concat(F.lit(PAD * (K - S)), text, F.lit(PAD * (K - 1))), whole)).otherwise(none)
 
 
 def as_text(marks: Column) -> Column:
-    return F.array_join(F.transform(marks, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "")
+    return F.array_join(F.transform(marks, lambda x: F.lower(F.lpad(F.hex(x), 16, "0"))), "")
+
+
+def likeness(a: Column, b: Column, size: int | None = SIZE) -> Column:
+    """Jaccard similarity of two texts' anchors, by hash."""
+    top = F.lit((1 << HASH) - 1).cast("long")
+
+    def whole_to(x: Column) -> Column:
+        # A sketch of fewer than size anchors has all of them.
+        return top if size is None else F.when(F.size(x) < size, top).otherwise(F.greatest(hash_of(F.get(x, F.lit(size - 1))), F.lit((1 << HASH) // ONE_IN - 1).cast("long")))
+
+    def of(bound: Column) -> Column:
+        hashes = lambda x: F.transform(F.filter(x, lambda v: hash_of(v) <= bound), hash_of)
+        return let(hashes(a), lambda p: let(hashes(b), lambda q: let(F.size(F.array_intersect(p, q)), lambda n: n / (F.size(p) + F.size(q) - n).cast("double"))))
+
+    return F.when(F.size(a) + F.size(b) == 0, 1.0).otherwise(let(F.least(whole_to(a), whole_to(b)), of))
+
+
+def aligned(a: Column, b: Column) -> Column:
+    """struct(distance, n): the most frequent distance between the positions of shared anchors (b's less a's, the least on ties) and their number; 0 and 0 for none."""
+    side = lambda x, w: F.transform(x, lambda v: F.struct(hash_of(v).alias("h"), F.lit(w).alias("w"), place_of(v).alias("p")))
+
+    def shared(x: Column) -> Column:
+        return F.array_sort(F.array_compact(F.transform(x, lambda v, i: F.when((i > 0) & (F.get(x, i - 1)["h"] == v["h"]), v["p"] - F.get(x, i - 1)["p"]))))
 
+    none = F.struct(F.lit(None).cast("long").alias("at"), F.lit(0).alias("run"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("distance"))
 
-def likeness(a: Column, b: Column) -> Column:
-    def of(both: Column) -> Column:
-        return F.size(F.array_intersect(F.array_intersect(a, b), both)) / F.size(both).cast("double")
+    def count(acc: Column, d: Column) -> Column:
+        run = F.when(acc["at"] == d, acc["run"] + 1).otherwise(1)
+        more = run > acc["n"]
+        return F.struct(d.alias("at"), run.alias("run"), F.when(more, run).otherwise(acc["n"]).alias("n"), F.when(more, d).otherwise(acc["distance"]).alias("distance"))
 
-    return F.when(F.size(a) + F.size(b) == 0, 1.0).otherwise(let(F.slice(F.sort_array(F.array_union(a, b)), 1, SIZE), of))
+    both = let(F.sort_array(F.concat(side(a, 0), side(b, 1))), shared)
+    return F.aggregate(both, none, count, lambda acc: F.struct(acc["distance"].alias("distance"), acc["n"].alias("n")))
 
 
 def followed(docs: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -124,7 +185,9 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 def query(spark, sf_dir: str) -> DataFrame:
     f = fingerprints(documents(spark, sf_dir).select("doc_id", "text"))
+    f = f.withColumn(f"{P}near", aligned(F.col(f"{P}marks"), F.col(f"{P}edited_marks"))).withColumn(f"{P}far", aligned(F.col(f"{P}marks"), F.col(f"{P}next_marks")))
     return f.select(
         "doc_id", F.col(f"{P}n").alias("n_chars"), F.sha2(f"{P}edited", 256).alias("edited_sha256"), as_text(F.col(f"{P}marks")).alias("fingerprint"), as_text(F.col(f"{P}edited_marks")).alias("edited_fingerprint"),
         likeness(F.col(f"{P}marks"), F.col(f"{P}edited_marks")).alias("near_edited"), likeness(F.col(f"{P}marks"), F.col(f"{P}next_marks")).alias("near_next"),
+        F.col(f"{P}near.n").cast("long").alias("aligned_edited"), F.col(f"{P}far.n").cast("long").alias("aligned_next"), F.col(f"{P}far.distance").alias("next_distance"),
     )
