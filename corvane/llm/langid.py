@@ -5,8 +5,9 @@ The network is trained here, in numpy, by backpropagation through time. Its inpu
 probabilities of the languages at every position. A document's probabilities are the means over all its positions, so the whole
 text counts. Padding after a text holds the update gate open and thus leaves the state as it is.
 
-Training takes at most `PER_LANG` documents of each language (those with the least hash of the text) and an excerpt of `EXCERPT`
-characters of each, at a place that the hash chooses; nothing else is sampled. Weights are a few kilobytes, sent with the task.
+Training takes at most `PER_LANG` different texts of each language (those with the least hash of the text) and an excerpt of `EXCERPT`
+characters of each, at a place that the hash chooses; nothing else is sampled. The number of texts of each language, estimated first, gives the hash up to
+which the scan lets texts through, so a few hundred of each reach the task that ranks them, however many there are. Weights are a few kilobytes, sent with the task.
 
 Defined cases: a null text or one without a letter is `und` with score 0; with nothing to learn from, all are `und`;
 texts are read whole at any length; repeated rows are predicted one by one; a null id counts as the empty string
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import P, documents
+from .common import P, documents, materialise, scratch, ship
 
 WINDOW = 48
 HIDDEN = 8
@@ -216,9 +217,13 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     t = F.col(text)
     h = F.xxhash64(t)
     start = F.pmod(h, F.greatest(F.length(t) - excerpt + 1, F.lit(1)).cast("long")).cast("int") + 1
-    rows = docs.filter(t.isNotNull() & F.col(lang).isNotNull() & ~held_out(key)).select(F.col(lang).alias("lang"), h.alias("h"), F.substring(t, start, F.lit(excerpt)).alias("t"))
-    ranked = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "t"))).filter(F.col("n") <= per_lang)
-    got = sorted((r.lang, r.h, r.t) for r in ranked.collect())
+    rows = docs.filter(t.isNotNull() & F.col(lang).isNotNull() & ~held_out(key)).select(F.col(lang).alias("lang"), F.pmod(h, F.lit(1 << 62)).alias("h"), F.substring(t, start, F.lit(excerpt)).alias("t"))
+    with scratch(docs.sparkSession):
+        share = F.least(F.lit(1.0), (4 * per_lang + 64) / F.greatest(F.col("n"), F.lit(1)))
+        limits = materialise(rows.groupBy(F.col("lang").alias("l")).agg(F.approx_count_distinct("h").alias("n")).select("l", (share * float(1 << 62)).cast("long").alias("below")), "lang-limits")
+        few = rows.join(limits, F.col("lang") == F.col("l")).filter("h <= below").groupBy("lang", "h").agg(F.min("t").alias("t"))
+        ranked = few.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "t"))).filter(F.col("n") <= per_lang)
+        got = sorted((r.lang, r.h, r.t) for r in ranked.collect())
     langs = sorted({r[0] for r in got})
     parts = [(windows([r[2].encode("utf-8", "surrogatepass")])[0], langs.index(r[0])) for r in got if any(map(str.isalpha, r[2]))]
     if not parts:
@@ -234,6 +239,7 @@ _OUT = [T.StructField(f"{P}lang_pred", T.StringType()), T.StructField(f"{P}score
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """docs with __cv_lang_pred and __cv_score."""
+    ship(docs.sparkSession)
     schema = T.StructType([*docs.schema.fields, *_OUT])
     column = docs.columns.index(text)
 
