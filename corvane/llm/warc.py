@@ -4,7 +4,8 @@ Writing. Of the rows with equal payloads of at least `revisit_bytes` bytes that
 others become revisit records that refer to it; smaller payloads are always responses. A record is one row of Spark's
 text writer, whose line separator is the two line ends that close a record, so any storage Spark can write holds the archives.
 
-Reading. Archives are split at the magic `WARC/1.0`, which may as well stand inside a payload. Every piece is a candidate record; its
+Reading. Archives are split once at the magic `WARC/1.0`, which may as well stand inside a payload, and the pieces are written, numbered in the order of
+their split of the file, so that all later jobs read the same numbers. Every piece is a candidate record; its
 header's Content-Length gives the candidate's successor offset. Tasks emit (offset, successor) for the candidates of a block of the
 file and shorten each chain to where it leaves the block; pointer jumping over the blocks from the start of the
 file finds the offsets where the true chain enters each one, and one more pass over the blocks marks the records reached. Pieces
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import P, materialise, new_folder, ship
+from .common import P, materialise, new_folder, scratch, ship
 
 #: Fixed values of the format.
 MAGIC = "WARC/1.0\r\n"
@@ -52,7 +53,11 @@ def _urn(c: Column) -> Column:
 
 
 def write(pages: DataFrame, path: str, **how) -> None:
-    r = records(pages, **how)
+    with scratch(pages.sparkSession):
+        _write(records(pages, **how), path)
+
+
+def _write(r: DataFrame, path: str) -> None:
     revisit = F.col(f"{P}type") == "revisit"
     body = F.when(revisit, F.lit("")).otherwise(F.col(f"{P}payload"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col(f"{P}size").cast("string"), F.lit(END))
@@ -74,7 +79,7 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
 def _offsets(raw: DataFrame) -> DataFrame:
     """(file, split, seq, offset, length): offsets from the lengths of all pieces before, summed in two levels."""
     sized = raw.select("file", "split", "seq", F.octet_length("value").cast("long").alias("length"), _successor(F.col("value")).alias("span"))
-    sized = materialise(sized, "warc-pieces")
+    sized = materialise(sized, "warc-lengths")
     step = F.col("length") + len(MAGIC)
     splits = sized.groupBy("file", "split").agg(F.sum(step).alias("bytes"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
@@ -158,18 +163,25 @@ def _parsed(bodies: DataFrame) -> DataFrame:
 
 def read(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
     """Records of the archives below path: file, record (its offset), header, http and payload (binary)."""
-    raw = pieces(spark, path)
+    ship(spark)
+    raw = materialise(pieces(spark, path), "warc-text", keep=True)
+    with scratch(spark):
+        odd = _odd(raw, block)
+    at = ["file", "split", "seq"]
+    single = raw.join(odd.select(*at), at, "left_anti").withColumn("record", F.col("seq"))
+    many = raw.join(odd.filter("record is not null"), at).groupBy("file", "record").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("offset", "value"))), lambda x: x["value"]), MAGIC).alias("value"))
+    return _parsed(single.select("file", "record", "value").unionByName(many))
+
+
+def _odd(raw: DataFrame, block: int) -> DataFrame:
+    """(file, split, seq, offset, record) of the pieces that are no whole record; record is the offset of theirs, null before the first."""
     places = _offsets(raw)
     true = chain(places, block).select("file", "offset", F.lit(True).alias("starts"))
     # A piece belongs to the last record that starts at or before it in its file. Nearly all records have one piece.
     order = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
     owned = places.join(true, ["file", "offset"], "left").withColumn("record", F.max(F.when(F.col("starts"), F.col("offset"))).over(order))
     owned = owned.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("file", "record")))
-    odd = materialise(owned.filter("n > 1 or record is null").select("file", "split", "seq", "offset", "record"), "warc-odd")
-    at = ["file", "split", "seq"]
-    single = raw.join(odd.select(*at), at, "left_anti").withColumn("record", F.col("seq"))
-    many = raw.join(odd.filter("record is not null"), at).groupBy("file", "record").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("offset", "value"))), lambda x: x["value"]), MAGIC).alias("value"))
-    return _parsed(single.select("file", "record", "value").unionByName(many))
+    return materialise(owned.filter("n > 1 or record is null").select("file", "split", "seq", "offset", "record"), "warc-odd", keep=True)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
