@@ -1,6 +1,7 @@
 """Byte-level BPE encoding and decoding, as the `tokenizers` library does it, from a public vocabulary file.
 
-A text is split at the strings of special tokens, then into pre-tokens by the file's pattern. Each distinct
+A text is split at the strings of special tokens, then into pre-tokens by the byte-level pattern; a file that asks for another
+pattern, a normaliser or special tokens that strip is refused. Each distinct
 pre-token of a worker is merged once and kept in a cache of bounded size. Merging holds the ranks of adjacent parts in
 one contiguous array: scan it for the least rank, delete the boundary between those two parts, refresh the two neighbouring
 ranks, and repeat. A scan for each merge is quadratic, so pre-tokens of more than `LONG` bytes take the
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
-from .common import documents
+from .common import documents, ship
 
 #: The splitting pattern of the byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -40,12 +41,22 @@ def _alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _refuse_others(j: dict) -> None:
+    """Raises for a file that asks for more than a byte-level BPE does here: PATTERN is what its pre-tokenizer uses, and special tokens are plain strings."""
+    before, model = j.get("pre_tokenizer") or {}, j["model"]
+    plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not j.get("normalizer") and (j.get("decoder") or {}).get("type") == "ByteLevel"
+    plain = plain and model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    if not plain or any(t.get(k) for t in j.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("not a plain byte-level BPE file")
+
+
 class Codec:
     def __init__(self, path: str):
         import regex
 
         with open(path, encoding="utf-8") as f:
             j = json.load(f)
+        _refuse_others(j)
         model, known = j["model"], _alphabet()
         raw = lambda s: bytes(known[c] for c in s)
         self.ids = {raw(s): i for s, i in model["vocab"].items()}
@@ -178,6 +189,7 @@ def tokens(docs: DataFrame, path: str, keep: list[str], text: str = "text") -> D
 def _mapped(docs: DataFrame, path: str, keep: list[str], text: str, schema, of) -> DataFrame:
     """The columns in keep, then what of(text, codec) gives, by schema."""
     n = len(keep)
+    ship(docs.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
