@@ -113,6 +113,16 @@ def clip_edge(pts: Column, axis: str, bound: Column, keep_above: bool) -> Column
     return let(pts, of)
 
 
+def clip_polygon(pts: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """The part of a closed polygon inside a window: left, right, top and bottom edge in turn, then all coordinates held inside."""
+    lo, hi = {"x": x0, "y": y0}, {"x": x1, "y": y1}
+    for axis in ("x", "y"):
+        pts = clip_edge(pts, axis, lo[axis].cast("double"), True)
+        pts = clip_edge(pts, axis, hi[axis].cast("double"), False)
+    held = lambda q, a: F.least(F.greatest(q[a], lo[a].cast("double")), hi[a].cast("double"))
+    return F.transform(pts, lambda q: F.struct(held(q, "x").alias("x"), held(q, "y").alias("y")))
+
+
 def registered(spark) -> None:
     """The same expressions as SQL functions of the session."""
     spark.sql("create or replace temporary function hamming(a bigint, b bigint) returns int return cast(bit_count(a ^ b) as int)")

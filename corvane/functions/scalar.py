@@ -104,3 +104,32 @@ def stable_stem(grp: Column, index: Column) -> Column:
 
 def strip_bom(text: Column) -> Column:
     return F.regexp_replace(text, "^﻿", "")
+
+
+def fixed(x: Column, digits: int = 6) -> Column:
+    """x (0 or more, below 2 ** 26) as text with so many digits after the point (6 at most), rounded half to even on the exact binary value.
+
+    The value is cut into three whole numbers of 26 and 27 bits, all exact, and put together as one decimal in units of 2 ** -80.
+    """
+    if not 0 < digits <= 6:
+        raise ValueError("1 to 6 digits")
+    whole = lambda v: F.floor(v).cast("decimal(38,0)")
+    one = F.floor(x).cast("double")
+    two = (x - one) * float(1 << 27)
+    three = (two - F.floor(two).cast("double")) * float(1 << 27)
+    four = (three - F.floor(three).cast("double")) * float(1 << 26)
+    power = lambda n: F.lit(1 << n).cast("decimal(38,0)")
+    scale, unit = F.lit(10**digits).cast("decimal(10,0)"), F.lit(str(1 << 80)).cast("decimal(25,0)")
+    below = (whole(two).cast("decimal(10,0)") * power(53).cast("decimal(16,0)") + whole(three).cast("decimal(10,0)") * power(26).cast("decimal(8,0)")).cast("decimal(27,0)") + whole(four).cast("decimal(9,0)")
+    part = (below.cast("decimal(25,0)") * scale).cast("decimal(33,0)")
+    rest = part % unit
+    kept = ((part - rest) / unit).cast("decimal(10,0)")
+    twice = rest * F.lit(2).cast("decimal(1,0)")
+    up = (twice > unit) | ((twice == unit) & (kept % 2 == 1))
+    all_ = (one.cast("decimal(10,0)") * scale + kept + F.when(up, 1).otherwise(0)).cast("bigint")
+    return F.concat(F.floor(all_ / 10**digits).cast("string"), F.lit("."), F.lpad((all_ % 10**digits).cast("string"), digits, "0"))
+
+
+def percent(x: Column, digits: int = 2) -> Column:
+    """A share as text in per cent."""
+    return F.concat(fixed(x * 100, digits), F.lit("%"))

@@ -14,8 +14,9 @@ from corvane.functions import geometry as G
 
 THRESHOLDS = 10
 GRID = 101
-#: Stretches of the score axis in which cumulative counts are taken separately.
-STRETCHES = 256
+#: Stretches of the score axis in which cumulative counts are taken separately: so many for each doubling of the score, so that scores crowded near 0 are spread as well.
+STRETCHES = 4096
+LEAST_SCORE = 2.0**-40
 BOX = ("x1", "y1", "x2", "y2")
 
 
@@ -59,7 +60,7 @@ def curve(flagged: DataFrame, keys: list[str]) -> DataFrame:
 
     Counts are summed in two levels, so that no task sorts more than one stretch of the score axis of a key.
     """
-    f = flagged.withColumn("stretch", F.least(F.lit(STRETCHES - 1), F.floor(F.col("score") * STRETCHES)).cast("int"))
+    f = flagged.withColumn("stretch", F.floor(F.log2(F.greatest(F.col("score"), F.lit(LEAST_SCORE))) * STRETCHES).cast("int"))
     cells = f.groupBy(*keys, "stretch").agg(F.count(F.lit(1)).alias("n"), F.sum("tp").alias("t"))
     above = Window.partitionBy(*keys).orderBy(F.col("stretch").desc()).rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select(*keys, "stretch", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("rank0"), F.coalesce(F.sum("t").over(above), F.lit(0)).alias("tp0"))
@@ -130,18 +131,18 @@ def suppressed(dets: DataFrame, iou_above: float = 0.55, max_det: int = 300) ->
     return out.select("image_id", (-F.col("b.back")).alias("event_id"), "rank", F.col("b.score").alias("score"), *[F.col(f"b.{c}").alias(c) for c in BOX])
 
 
-def merged_tiles(tile_dets: DataFrame, full_dets: DataFrame, width: int = 1000, height: int = 1000, **how) -> DataFrame:
+def merged_tiles(tile_dets: DataFrame, full_dets: DataFrame, width: Column, height: Column, **how) -> DataFrame:
     """Predictions of tiles (in tile coordinates, with x0, y0) and of whole images: moved, clipped, degenerate ones dropped, suppressed."""
     moved = tile_dets.withColumns({"x1": F.col("x1") + F.col("x0"), "x2": F.col("x2") + F.col("x0"), "y1": F.col("y1") + F.col("y0"), "y2": F.col("y2") + F.col("y0")}).drop("x0", "y0")
     both = moved.unionByName(full_dets.select(*moved.columns))
-    clip = lambda c, top: F.greatest(F.lit(0), F.least(F.lit(top), F.col(c)))
+    clip = lambda c, top: F.greatest(F.lit(0), F.least(top, F.col(c)))
     clipped = both.withColumns({"x1": clip("x1", width), "x2": clip("x2", width), "y1": clip("y1", height), "y2": clip("y2", height)})
     return suppressed(clipped.filter("x2 > x1 and y2 > y1"), **how)
 
 
-def area_histogram(boxes: DataFrame, bins: int = 60, canvas: float = 1_000_000.0) -> DataFrame:
-    """Equal-width bins of box areas in per cent; the last bin is closed; empty bins are there."""
-    v = boxes.select(F.greatest(F.lit(1e-8), F.lit(100.0) * ((F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))).cast("double") / F.lit(canvas)).alias("v"))
+def area_histogram(boxes: DataFrame, canvas: Column, bins: int = 60) -> DataFrame:
+    """Equal-width bins of box areas in per cent of the canvas; the last bin is closed; empty bins are there."""
+    v = boxes.select(F.greatest(F.lit(1e-8), F.lit(100.0) * ((F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))).cast("double") / canvas).alias("v"))
     ends = v.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     j = v.crossJoin(F.broadcast(ends))  # one row
     b = F.when(F.col("hi") > F.col("lo"), F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins).cast("int"))).otherwise(0)
@@ -149,6 +150,50 @@ def area_histogram(boxes: DataFrame, bins: int = 60, canvas: float = 1_000_000.0
     return boxes.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).join(counts, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).cast("long").alias("n_boxes"))
 
 
+def public(df: DataFrame) -> DataFrame:
+    """Without the columns whose names start with an underscore."""
+    return df.drop(*[c for c in df.columns if c.startswith("_")])
+
+
+def check_arguments(slice_size: int, overlap: float, batch: int = 1, near_threshold: int = 0) -> None:
+    if not 0.0 <= overlap < 0.9:
+        raise ValueError("overlap must be in [0, 0.9)")
+    if slice_size <= 0:
+        raise ValueError("slice size must be positive")
+    if batch <= 0:
+        raise ValueError("batch must be positive")
+    if near_threshold < 0:
+        raise ValueError("near-duplicate threshold must be 0 or more")
+
+
+def per_image(dets: DataFrame, confidence: float = 0.25) -> DataFrame:
+    """Predictions at or above a confidence, as a list per image in falling order of score."""
+    d = dets.filter(F.col("score") >= confidence)
+    kept = F.sort_array(F.collect_list(F.struct("score", (-F.col("event_id")).alias("back"))), asc=False)
+    return d.groupBy("image_id").agg(F.transform(kept, lambda x: -x["back"]).alias("event_ids"))
+
+
+def drawn(dets: DataFrame, truth: DataFrame, count: int = 20, confidence: float = 0.25) -> DataFrame:
+    """The first images with a prediction or a ground truth, with the numbers of both."""
+    both = dets.filter(F.col("score") >= confidence).select("image_id", F.lit(1).alias("p"), F.lit(0).alias("t")).unionByName(truth.select("image_id", F.lit(0).alias("p"), F.lit(1).alias("t")))
+    return both.groupBy("image_id").agg(F.sum("p").alias("n_predictions"), F.sum("t").alias("n_truth")).orderBy("image_id").limit(count)
+
+
+def summary_rows(dets: DataFrame, truth: DataFrame, confidence: float = 0.25) -> DataFrame:
+    """One row per subset: sizes, mean average precisions, ap_by_iou, and counts and ratios at the confidence."""
+    at = at_confidence(dets, truth, (confidence,)).select("subset", "tp", "fp", "fn", F.col("precision").alias("precision_at_conf"), F.col("recall").alias("recall_at_conf"), F.col("f1").alias("f1_at_conf"))
+    return mean_ap(dets, truth).join(at, "subset")
+
+
+def json_of(row: DataFrame) -> DataFrame:
+    """subset and value: the row as JSON in which NaN stands bare and null is null, as the reports of an evaluation have them."""
+    number = lambda c: F.when(F.isnan(c), "NaN").otherwise(F.coalesce(c.cast("string"), F.lit("null")))
+    plain = [F.concat(F.lit(f'"{c}": '), number(F.col(c).cast("double")) if t == "double" else F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c, t in row.dtypes if c not in ("subset", "ap_by_iou")]
+    by = F.array_join(F.transform(F.map_entries("ap_by_iou"), lambda e: F.concat(F.lit('"'), e["key"], F.lit('": '), number(e["value"]))), ", ")
+    parts = [F.concat(F.lit('"name": '), F.to_json(F.array("subset")).substr(F.lit(2), F.length("subset") + 2)), *plain, F.concat(F.lit('"ap_by_iou": {'), by, F.lit("}"))]
+    return row.select("subset", F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}")).alias("value"))
+
+
 def tabulated(dets: DataFrame) -> DataFrame:
     """Detections as a table: rank in the image, rounded score and coordinates."""
     w = Window.partitionBy("image_id").orderBy(F.col("score").desc(), "event_id")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.functions.geometry import evens, odds
-from corvane.functions.scalar import clamp01, numbers, tokens
+from corvane.functions.geometry import evens, largest_polygon, odds
+from corvane.functions.scalar import clamp01, fixed, normalise, numbers, tokens
 
 ERRORS = ("too_few_values", "non_numeric", "invalid_polygon", "invalid_bbox")
 
@@ -14,7 +14,7 @@ ERRORS = ("too_few_values", "non_numeric", "invalid_polygon", "invalid_bbox")
 def parsed(lines: DataFrame) -> DataFrame:
     """lines (line, ...) with tokens, coords (all after the first as doubles) and whether all of them are numbers."""
     t = lines.withColumn("tokens", tokens(F.col("line")))
-    t = t.withColumn("coords", numbers(F.slice("tokens", 2, 1_000_000)))
+    t = t.withColumn("coords", numbers(F.slice("tokens", 2, F.greatest(F.size("tokens"), F.lit(1)))))
     return t.withColumn("numeric", ~F.exists("coords", lambda c: c.isNull()))
 
 
@@ -68,31 +68,27 @@ def evaluation(lines: DataFrame, width: Column, height: Column) -> DataFrame:
 def violation(line: Column) -> Column:
     """The first rule of well-formed detection lines that a line breaks, or null."""
     t = tokens(line)
-    c = numbers(F.slice(t, 2, 1_000_000))
+    c = numbers(F.slice(t, 2, F.greatest(F.size(t), F.lit(1))))
     return (
         F.when(F.size(t) == 0, None).when(F.size(t) != 5, "token_count").when(F.get(t, F.lit(0)) != "0", "class").when(F.exists(c, lambda v: v.isNull()), "number")
         .when(F.exists(c, lambda v: (v < 0) | (v > 1)), "range").when((F.get(c, F.lit(2)) <= 0) | (F.get(c, F.lit(3)) <= 0), "size")
     )
 
 
-def split_of(image_id: Column) -> Column:
-    """A fixed split of the label fixture: 7, 2 and 1 of ten images."""
-    return F.when(image_id % 10 < 7, "train").when(image_id % 10 < 9, "valid").otherwise("test")
-
-
 def conversion_summary(lines: DataFrame) -> DataFrame:
-    """Per split and over all: images, objects, images without objects, rejects by reason."""
+    """lines (image_id, split, ...): per split and over all: images, objects, images without objects, rejects by reason."""
     c = convert(lines)
-    per_image = c.groupBy("image_id").agg(F.count_if(~F.col("blank") & F.col("error").isNull()).alias("objects"), *[F.count_if(F.col("error") == e).alias(e) for e in ERRORS])
-    out = per_image.withColumn("split", split_of(F.col("image_id"))).rollup("split").agg(F.count(F.lit(1)).alias("images"), F.sum("objects").alias("objects"), F.count_if(F.col("objects") == 0).alias("background_images"), *[F.sum(e).alias(f"skipped_{e}") for e in ERRORS])
+    per_image = c.groupBy("image_id", "split").agg(F.count_if(~F.col("blank") & F.col("error").isNull()).alias("objects"), *[F.count_if(F.col("error") == e).alias(e) for e in ERRORS])
+    out = per_image.rollup("split").agg(F.count(F.lit(1)).alias("images"), F.sum("objects").alias("objects"), F.count_if(F.col("objects") == 0).alias("background_images"), *[F.sum(e).alias(f"skipped_{e}") for e in ERRORS])
     return out.withColumn("split", F.coalesce("split", F.lit("overall")))
 
 
 def image_rows(lines: DataFrame) -> DataFrame:
+    """lines (image_id, split, ...): one row per image with its accepted objects."""
     per = audit(lines).groupBy("image_id").agg(F.count(F.lit(1)).alias("n"))
-    images = lines.select("image_id").distinct().join(per, "image_id", "left")
+    images = lines.select("image_id", "split").distinct().join(per, "image_id", "left")
     n = F.coalesce("n", F.lit(0)).cast("long")
-    return images.select("image_id", split_of(F.col("image_id")).alias("split"), n.alias("objects"), F.when(n == 0, 1).otherwise(0).alias("is_background"))
+    return images.select("image_id", "split", n.alias("objects"), F.when(n == 0, 1).otherwise(0).alias("is_background"))
 
 
 def object_rows(lines: DataFrame) -> DataFrame:
@@ -101,4 +97,23 @@ def object_rows(lines: DataFrame) -> DataFrame:
 
 
 def detection_line(xc: Column, yc: Column, w: Column, h: Column) -> Column:
-    return F.concat_ws(" ", F.lit("0"), *[F.format_string("%.6f", v) for v in (xc, yc, w, h)])
+    return F.concat_ws(" ", F.lit("0"), *[fixed(v) for v in (xc, yc, w, h)])
+
+
+def segmentation_line(class_id: Column, polygons: Column, width: Column, height: Column) -> Column:
+    """Class and normalised corners of the largest polygon; null where there is no polygon at all, the class alone where the largest is empty."""
+    flat = largest_polygon(polygons)["polygon"]
+    coords = F.transform(flat, lambda v, i: fixed(F.when(i % 2 == 0, normalise(v, width)).otherwise(normalise(v, height))))
+    return F.when(F.size(polygons) > 0, F.concat(class_id.cast("string"), F.lit(" "), F.array_join(coords, " ")))
+
+
+def segmentation_lines(images: DataFrame, annotations: DataFrame) -> DataFrame:
+    """images (image_id, width, height) and annotations (image_id, ann_id, class_id, polygons) -> (image_id, line_number, line); line is null where nothing can be written."""
+    j = annotations.join(images.select("image_id", "width", "height"), "image_id")
+    line = segmentation_line(F.col("class_id"), F.col("polygons"), F.col("width"), F.col("height"))
+    return j.select("image_id", F.row_number().over(Window.partitionBy("image_id").orderBy("ann_id")).alias("line_number"), line.alias("line"))
+
+
+def skipped(lines: DataFrame) -> DataFrame:
+    """One row: annotations written, and skipped for want of a polygon or a box."""
+    return lines.agg(F.count("line").alias("written"), F.count_if(F.col("line").isNull()).alias("rle_or_missing_segmentation"))

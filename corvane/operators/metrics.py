@@ -35,3 +35,16 @@ def best_epoch(rows: DataFrame) -> DataFrame:
 def series(rows: DataFrame) -> DataFrame:
     """Long form: one row per stage, epoch and metric."""
     return rows.unpivot(["stage", "epoch"], list(METRICS), "metric", "value").filter("value is not null")
+
+
+def comparison(stages: list[DataFrame]) -> DataFrame:
+    """The best epoch of each stage, one below the other."""
+    out = best_epoch(stages[0])
+    for s in stages[1:]:
+        out = out.unionByName(best_epoch(s))
+    return out
+
+
+def long_series(wide: DataFrame) -> DataFrame:
+    """All columns but stage and epoch in long form, whatever the trainer wrote."""
+    return wide.unpivot(["stage", "epoch"], [c for c in wide.columns if c not in ("stage", "epoch")], "metric", "value").filter("value is not null")

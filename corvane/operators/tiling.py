@@ -40,6 +40,41 @@ def cap_empty(tiles: DataFrame) -> DataFrame:
     return t.filter(~empty | F.col("max_empty").isNull() | (F.col("r") <= F.col("max_empty"))).select("image_id", "window_idx", "file_name", "n_ann")
 
 
+def clip_annotations(tiles: DataFrame, annotations: DataFrame) -> DataFrame:
+    """annotations (image_id, ann_id, polygons) in each tile of their image (image_id, window_idx, x0, y0, x1, y1, min_area_ratio), in tile coordinates.
+
+    Each polygon is clipped; parts of three corners or more and an area above 1 stay. An annotation stays where its parts make up at least min_area_ratio of its
+    whole area and their box is larger than 1 x 1.
+    """
+    every = F.flatten("polygons")
+    a = annotations.withColumns({"__l": F.array_min(G.evens(every)), "__r": F.array_max(G.evens(every)), "__t": F.array_min(G.odds(every)), "__b": F.array_max(G.odds(every))})
+    j = tiles.join(a, "image_id").filter("__l < x1 and __r > x0 and __t < y1 and __b > y0")
+    bounds = [F.col(c) for c in ("x0", "y0", "x1", "y1")]
+    cut = F.transform("polygons", lambda p: G.let(G.clip_polygon(G.points(p), *bounds), lambda q: F.struct(q.alias("q"), G.points_area(q).alias("area"))))
+    j = j.withColumn("__parts", F.filter(cut, lambda x: (F.size(x["q"]) >= 3) & (x["area"] > 1)))
+    total = lambda c, of: F.aggregate(c, F.lit(0.0), lambda acc, x: acc + of(x))
+    j = j.withColumn("__whole", total(F.col("polygons"), G.polygon_area)).withColumn("area", total(F.col("__parts"), lambda x: x["area"]))
+    j = j.filter((F.size("__parts") > 0) & (F.col("__whole") > 0) & (F.col("area") / F.col("__whole") >= F.col("min_area_ratio")))
+    moved = F.transform("__parts", lambda x: F.flatten(F.transform(x["q"], lambda q: F.array(q["x"] - F.col("x0"), q["y"] - F.col("y0")))))
+    j = j.withColumn("polygons", moved).withColumn("bbox", G.polygon_bbox(F.flatten("polygons"), F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))).filter("bbox.w > 1 and bbox.h > 1")
+    return j.drop("__l", "__r", "__t", "__b", "__parts", "__whole")
+
+
+def slices(images: DataFrame, annotations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tiles of images (image_id, grp, width, height, ...) with their names and numbers of annotations, capped empty ones gone, and the clipped annotations of those that stay."""
+    tiles = windows(images)
+    clipped = clip_annotations(tiles, annotations)
+    per = clipped.groupBy("image_id", "window_idx").agg(F.count(F.lit(1)).alias("__n"))
+    full = tiles.join(per, ["image_id", "window_idx"], "left").withColumn("n_ann", F.coalesce("__n", F.lit(0)).cast("long")).drop("__n")
+    kept = cap_empty(full).join(tiles.select("image_id", "window_idx", "grp", "x0", "y0", "x1", "y1"), ["image_id", "window_idx"])
+    return kept, annotations_of(clipped, kept)
+
+
+def annotations_of(clipped: DataFrame, kept: DataFrame) -> DataFrame:
+    """The clipped annotations whose tile stays."""
+    return clipped.join(kept.select("image_id", "window_idx"), ["image_id", "window_idx"], "left_semi")
+
+
 def clip_polygons(polys: DataFrame, tiles: DataFrame, min_ratio: float = 0.1) -> DataFrame:
     """polys (vec_id, flat) against tiles (window_idx, x0, y0, x1, y1; a fixed-size table): clipped parts in tile coordinates.
 
@@ -49,8 +84,7 @@ def clip_polygons(polys: DataFrame, tiles: DataFrame, min_ratio: float = 0.1) ->
     bounded = polys.withColumns({"px0": box(F.array_min, G.evens), "px1": box(F.array_max, G.evens), "py0": box(F.array_min, G.odds), "py1": box(F.array_max, G.odds), "whole": G.polygon_area(F.col("flat"))})
     j = bounded.join(F.broadcast(tiles), (F.col("px0") < F.col("x1")) & (F.col("px1") > F.col("x0")) & (F.col("py0") < F.col("y1")) & (F.col("py1") > F.col("y0")))
     j = j.withColumn("p", G.points(F.col("flat")))
-    for axis, bound, above in (("x", "x0", True), ("x", "x1", False), ("y", "y0", True), ("y", "y1", False)):
-        j = j.withColumn("p", G.clip_edge(F.col("p"), axis, F.col(bound).cast("double"), above))
+    j = j.withColumn("p", G.clip_polygon(F.col("p"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")))
     j = j.withColumn("area", G.points_area(F.col("p"))).filter((F.size("p") >= 3) & (F.col("area") > 1) & (F.col("whole") > 0) & (F.col("area") / F.col("whole") >= min_ratio))
     span = lambda axis: F.array_max(F.transform("p", lambda q: q[axis])) - F.array_min(F.transform("p", lambda q: q[axis]))
     j = j.withColumn("w", span("x")).withColumn("h", span("y")).filter("w > 1 and h > 1")

@@ -12,6 +12,7 @@ from corvane.functions import scalar as S
 from corvane.operators import coco, dedupe, evaluate, labels, merge, metrics, split, tiling
 from corvane.sources import readers
 
+from . import build_catalogue, build_oracle
 from . import fixtures as X
 from .oracle import SQL
 
@@ -93,7 +94,8 @@ def near_duplicate_pairs(spark, sf):
 
 
 def near_duplicate_clusters(spark, sf):
-    return dedupe.cluster_report(X.sources(spark, sf), X.signatures(spark, sf))
+    r = dedupe.cluster_report(X.sources(spark, sf), X.signatures(spark, sf))
+    return r.select("doc_id", "cluster_id", "cluster_size", "kept_source_key", "action", "hamming_to_keep")
 
 
 def dedupe_survivors(spark, sf):
@@ -163,7 +165,7 @@ def largest_polygon(spark, sf):
 
 def polygon_clip_tile(spark, sf):
     tiles = spark.createDataFrame([(0, 0, 0, 320, 320), (1, 320, 0, 640, 320), (2, 0, 320, 320, 640), (3, 320, 320, 640, 640)], "window_idx int, x0 int, y0 int, x1 int, y1 int")
-    return tiling.clip_polygons(X.polygons(spark, sf), tiles).select("vec_id", "window_idx", "n_points", "area", "w", "h")
+    return tiling.clip_polygons(X.polygons(spark, sf), tiles).select("vec_id", "window_idx", "n_points", F.round("area", 5).alias("area"), F.round("w", 6).alias("w"), F.round("h", 6).alias("h"))
 
 
 def polygon_to_box(spark, sf):
@@ -191,7 +193,7 @@ def label_parse_eval(spark, sf):
 
 
 def conversion_summary(spark, sf):
-    return labels.conversion_summary(X.label_lines(spark, sf))
+    return labels.conversion_summary(X.split_lines(spark, sf))
 
 
 def label_validation_counts(spark, sf):
@@ -200,7 +202,7 @@ def label_validation_counts(spark, sf):
 
 
 def audit_image_rows(spark, sf):
-    return labels.image_rows(X.label_lines(spark, sf))
+    return labels.image_rows(X.split_lines(spark, sf))
 
 
 def audit_object_rows(spark, sf):
@@ -226,7 +228,7 @@ def merge_tile_predictions(spark, sf):
     x0, y0 = (F.col("event_id") % 3 * 300).alias("x0"), (F.col("event_id") % 2 * 400).alias("y0")
     tile = d.filter("event_id % 2 = 0").select("event_id", "image_id", "score", "x1", "y1", "x2", "y2", x0, y0)
     full = d.filter("event_id % 2 = 1")
-    return evaluate.merged_tiles(tile, full, max_det=40).select("image_id", "event_id", "rank", "x1", "y1", "x2", "y2")
+    return evaluate.merged_tiles(tile, full, F.lit(1000), F.lit(1000), max_det=40).select("image_id", "event_id", "rank", "x1", "y1", "x2", "y2")
 
 
 def match_tp_fp(spark, sf):
@@ -263,7 +265,7 @@ def false_positives_per_image(spark, sf):
 
 
 def area_histogram(spark, sf):
-    return evaluate.area_histogram(X.truth(spark, sf))
+    return evaluate.area_histogram(X.truth(spark, sf), F.lit(1_000_000.0))
 
 
 def tabulated_detections(spark, sf):
@@ -288,8 +290,8 @@ _ALL = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in _ALL}
+    return {f.__name__: f for f in (*_ALL, *build_catalogue.ALL)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in SQL.items() if k in queries()}
+    return {k: v for k, v in (SQL | build_oracle.SQL).items() if k in queries()}

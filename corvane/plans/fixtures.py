@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -33,7 +33,7 @@ def sources(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     return docs.join(labels.select("doc_id", "quality", "toxic"), "doc_id", "left").selectExpr(
         "doc_id", "concat('0', cast(1 + cast(substring(source,4,10) as int) % 5 as string)) as grp", "concat(source,'/',lang,'_',cast(doc_id as string),'.jpg') as original_file_name",
-        "sha1(text) as content_hash", "coalesce(quality + toxic, 0) as n_ann", "320 + n_chars % 1600 as width", "240 + (n_chars*7) % 900 as height",
+        "sha1(text) as content_hash", "coalesce(quality + toxic, 0) as n_ann", "cast(320 + n_chars % 1600 as int) as width", "cast(240 + (n_chars*7) % 900 as int) as height", "concat('raw/', source, '/', cast(doc_id as string), '.jpg') as path",
         "substring(sha1(concat_ws('|', source, cast(doc_id as string))),1,16) as source_key",
     )
 
@@ -51,6 +51,15 @@ def label_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def split_of(image_id) -> Column:
+    """A fixed split of the fixtures: 7, 2 and 1 of ten images."""
+    return F.when(image_id % 10 < 7, "train").when(image_id % 10 < 9, "valid").otherwise("test")
+
+
+def split_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return label_lines(spark, sf).withColumn("split", split_of(F.col("image_id")))
+
+
 def epochs(spark: SparkSession, sf: str) -> DataFrame:
     """Training metrics per stage and day; ratios of counts."""
     daily = table(spark, sf, "events").groupBy(F.expr("case when user_id % 2 = 0 then 'Stage 1' else 'Stage 2' end").alias("stage"), F.expr("cast(extract(day from ts) as int)").alias("epoch"))
@@ -89,3 +98,80 @@ def coco_annotations(spark: SparkSession, sf: str) -> DataFrame:
 
     every = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
     return table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("image_id"), F.concat("l_returnflag", "l_linestatus").alias("category"), F.col("l_quantity").alias("area"), F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*every)).alias("ann_pos"))
+
+
+def build_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Images of all groups with splits and places; every third one has an odd suffix."""
+    return images(spark, sf).selectExpr(
+        "image_id", "grp", "width", "height", "cast(image_id as long) as source_index", "case when image_id % 10 < 7 then 'train' when image_id % 10 < 9 then 'valid' else 'test' end as split",
+        "substring(sha1(concat_ws('|', grp, cast(image_id as string))), 1, 16) as source_key", "concat('photo ', cast(image_id as string)) as original_file_name", "case when image_id % 3 = 0 then '.PNG' when image_id % 3 = 1 then '.tif' else '.jpeg' end as suffix",
+    )
+
+
+def build_annotations(spark: SparkSession, sf: str) -> DataFrame:
+    """Annotations with one, two or four polygons on a canvas of 640 x 640, or a box of a mask; some of unknown category, some of images that are not there."""
+    flat = F.transform("embedding", lambda e: (e.cast("double") + 1) * 320)
+    cut = lambda n, k: F.array(*[F.slice("flat", i * n + 1, n) for i in range(k)])
+    x, y, w, h = (F.get("flat", F.lit(i)) for i in range(4))
+    box = F.when((w - 300 > 1) & (h - 300 > 1), F.array(F.array(x, y, x + w - 300, y, x + w - 300, y + h - 300, x, y + h - 300))).otherwise(F.array().cast("array<array<double>>"))
+    kind = F.col("vec_id") % 4
+    polygons = F.when(kind == 0, F.array("flat")).when(kind == 1, cut(32, 2)).when(kind == 2, cut(16, 4)).otherwise(box)
+    category = F.when(F.col("label") % 5 < 4, F.concat(F.lit("class "), (F.col("label") % 5).cast("string"))).otherwise(F.lit("unknown"))
+    e = table(spark, sf, "embeddings").withColumn("flat", flat)
+    return e.select(F.col("vec_id").alias("ann_id"), F.col("vec_id").alias("ann_pos"), (F.col("vec_id") * 4 % 400).alias("image_id"), category.alias("category"), polygons.alias("polygons"))
+
+
+def build_classes(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(f"class {i}", i) for i in range(4)], "category string, class_id int")
+
+
+def listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of exports: documents in folders that count and in one that doesn't, images beside them and below them."""
+    path = (
+        "case doc_id % 7 when 0 then '_annotations.coco.json' when 1 then 'train/_annotations.json' when 2 then concat('train/images/', cast(doc_id as string), '.jpg') when 3 then 'valid/_annotations.coco-segmentation.json' "
+        "when 4 then 'deep/train/_annotations.json' when 5 then concat('valid/', cast(doc_id as string), '.WEBP') else concat('notes', cast(doc_id as string), '.txt') end"
+    )
+    return table(spark, sf, "documents").selectExpr("concat('0', cast(1 + doc_id % 5 as string)) as grp", f"{path} as path").distinct()
+
+
+def archives(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Annotation documents of archives, and the images they name with the member each means (or null)."""
+    images = table(spark, sf, "documents").selectExpr(
+        "concat('g', cast(doc_id % 5 as string)) as archive", "case cast(doc_id / 5 as long) % 4 when 0 then 'train/_annotations.coco.json' when 1 then 'valid/_annotations.coco.json' when 2 then 'x/train/_annotations.json' else '_annotations.json' end as annotation",
+        "cast(doc_id / 20 as int) as pos", "concat(lang, ' ', cast(doc_id as string), case doc_id % 3 when 0 then '.JPG' when 1 then '.gif' else '' end) as file_name", "case when doc_id % 9 > 0 then concat('m/', cast(doc_id as string), case doc_id % 2 when 0 then '.png' else '.dat' end) end as member",
+    )
+    return images.select("archive", "annotation").distinct(), images
+
+
+def scanned(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Images, files, annotations and categories of documents: names, files and sizes are missing here and there."""
+    docs = table(spark, sf, "documents")
+    images = docs.selectExpr(
+        "concat('0', cast(1 + doc_id % 5 as string)) as grp", "concat('doc', cast(doc_id % 10 as string)) as doc", "cast(cast(doc_id % 10 / 5 as int) as int) as place", "cast(doc_id / 10 as int) as pos", "doc_id as id", "concat('d', cast(doc_id % 10 as string)) as dir",
+        "case when doc_id % 17 = 0 then null when doc_id % 19 = 0 then '' else concat('i', cast(doc_id as string), '.jpg') end as file_name", "case when doc_id % 13 = 0 then 0 else cast(100 + doc_id % 50 as int) end as width", "cast(80 + doc_id % 40 as int) as height",
+    )
+    files = docs.filter("doc_id % 7 <> 0").selectExpr("concat('d', cast(doc_id % 10 as string), '/i', cast(doc_id as string), '.jpg') as path", "case when doc_id % 26 = 0 then 0 else 640 end as width", "case when doc_id % 26 = 0 then 0 else 480 end as height", "sha1(cast(doc_id as string)) as content_hash")
+    annotations = docs.selectExpr("concat('doc', cast(doc_id % 10 as string)) as doc", "doc_id as image_id", "cast(doc_id % 4 as int) as category_id", "explode(sequence(0, cast(doc_id % 3 as int))) as i").filter("i > 0").drop("i")
+    categories = spark.range(10).selectExpr("concat('doc', cast(id as string)) as doc", "explode(array(0, 1, 2)) as id").selectExpr("doc", "id", "case when id = 1 then '  ' else concat(' c', cast(id as string)) end as name")
+    return images, files, annotations, categories
+
+
+def headers(spark: SparkSession, sf: str) -> DataFrame:
+    """First bytes of image files in several formats, with the sizes they say."""
+    little = lambda c: f"concat(substring(lpad(hex({c}),8,'0'),7,2), substring(lpad(hex({c}),8,'0'),5,2), substring(lpad(hex({c}),8,'0'),3,2), substring(lpad(hex({c}),8,'0'),1,2))"
+    return sources(spark, sf).selectExpr(
+        "doc_id", "width", "height",
+        "unhex(case doc_id % 4 when 0 then concat('89504E470D0A1A0A0000000D49484452', lpad(hex(width),8,'0'), lpad(hex(height),8,'0')) "
+        "when 1 then concat('FFD8FFE000044A46FFDB0003AAFFFFC4000411', '22FFC2001108', lpad(hex(height),4,'0'), lpad(hex(width),4,'0'), '03') "
+        f"when 2 then concat('424D00000000000000000000000028000000', {little('width')}, {little('height')}) else '00112233' end) as content",
+    )
+
+
+def segmentations(spark: SparkSession, sf: str) -> DataFrame:
+    """Annotations with segmentations of every form, as the documents have them."""
+    n = "cast(vec_id as string)"
+    form = (
+        f"case vec_id % 7 when 0 then concat('{{\"counts\":[1,', {n}, '],\"size\":[3,4]}}') when 1 then concat('[0,0,', {n}, ',0,', {n}, ',10]') when 2 then concat('[[0,0,', {n}, ',0,', {n}, ',10],[1,2,3,4]]') when 3 then '[]' "
+        f"when 4 then null when 5 then concat('[[0,0,4,0,4,', {n}, '],[0,0,', {n}, ',0,', {n}, ',', {n}, ',0,', {n}, ']]') else '[[]]' end"
+    )
+    return table(spark, sf, "embeddings").selectExpr("vec_id", f"parse_json({form}) as segmentation", "array(cast(vec_id % 10 as double), 2D, cast(vec_id % 21 as double), cast(vec_id % 5 as double)) as bbox")

@@ -1,4 +1,4 @@
-"""Readers for annotation documents, label files, metric tables and archives. All run as scans; nothing is read on the driver but class names."""
+"""Readers for annotation documents, label files, metric tables and archives. All run as scans; annotation documents, a few for each group, are copied first, as their names are hidden ones to Spark."""
 
 from __future__ import annotations
 
@@ -21,7 +21,10 @@ COCO = (
 
 
 def _staged(spark: SparkSession, path: str, names: tuple[str, ...]) -> DataFrame:
-    """Files of these names below path as (doc, value). Spark's scans skip names with a leading underscore, so they are copied under others, by the file system."""
+    """Files of these names below path as (doc, value). Spark's scans skip names with a leading underscore, so they are copied under others, by the file system.
+
+    There is one document per group and split. Each is one row, so it must be below 2 GB.
+    """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     root, to = jvm.org.apache.hadoop.fs.Path(path), new_folder(spark, "documents")
     fs = root.getFileSystem(conf)
@@ -36,7 +39,7 @@ def _staged(spark: SparkSession, path: str, names: tuple[str, ...]) -> DataFrame
     if not found:
         raise FileNotFoundError(f"no annotation document below {path}")
     text = spark.read.text(to, wholetext=True).select(S.basename(F.col("_metadata.file_path")).alias("copy"), "value")
-    return text.join(F.broadcast(spark.createDataFrame(found, "copy string, doc string")), "copy").select("doc", "value")
+    return text.join(spark.createDataFrame(found, "copy string, doc string"), "copy").select("doc", "value")
 
 
 def coco(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -49,7 +52,7 @@ def coco(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFram
 
 
 def polygons():
-    """Segmentation of any form as polygons: one flat list, a list of lists of six numbers or more, or the box where there is neither."""
+    """Segmentation of any form as polygons: one flat list, a list of lists of six numbers or more, or the box where it is an object (a run-length mask); none where it is missing."""
     text = F.expr("to_json(segmentation)")
     many = F.from_json(text, "array<array<double>>")
     flat = F.from_json(text, "array<double>")
@@ -58,26 +61,28 @@ def polygons():
     none = F.array().cast("array<array<double>>")
     is_object, nested = F.startswith(text, F.lit("{")), text.rlike(r"^\[\s*\[")
     usable = F.col("bbox").isNotNull() & (b(2) > 1) & (b(3) > 1)
-    return F.when(text.isNull() | is_object, F.when(usable, box).otherwise(none)).when(nested, F.filter(many, lambda p: F.size(p) >= 6)).otherwise(F.array(flat))
+    return F.when(text.isNull() | (text == "null"), none).when(is_object, F.when(usable, box).otherwise(none)).when(nested, F.filter(many, lambda p: F.size(p) >= 6)).otherwise(F.array(flat))
 
 
 def label_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of label files: stem of the file, line number (from 1) and text; blank lines are dropped, a missing file has no rows."""
+    """Lines of label files: folder and stem of the file, line number (from 1) and text; blank lines are dropped, a missing file has no rows."""
     raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path, wholetext=True)
-    lines = raw.select(S.stem(F.col("_metadata.file_path")).alias("stem"), F.posexplode(F.split("value", r"\r?\n")).alias("n", "line"))
-    return lines.select("stem", (F.col("n") + 1).alias("line_number"), "line").filter(F.trim("line") != "")
+    lines = raw.select(S.basename(S.parent(F.col("_metadata.file_path"))).alias("dir"), S.stem(F.col("_metadata.file_path")).alias("stem"), F.posexplode(F.split("value", r"\r?\n")).alias("n", "line"))
+    return lines.select("dir", "stem", (F.col("n") + 1).alias("line_number"), "line").filter(F.trim("line") != "")
 
 
 def images(spark: SparkSession, path: str) -> DataFrame:
-    """Image files: path, name, stem, suffix, size in bytes and SHA-1 of the content."""
+    """Image files: path, folder, name, stem, suffix, size in bytes and SHA-1 of the content."""
     f = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     f = f.filter(S.suffix(F.col("path")).isin(*IMAGE_SUFFIXES))
-    return f.select("path", S.basename(F.col("path")).alias("file_name"), S.stem(F.col("path")).alias("stem"), S.suffix(F.col("path")).alias("suffix"), F.col("length"), F.sha1("content").alias("content_hash"))
+    return f.select("path", S.basename(S.parent(F.col("path"))).alias("dir"), S.basename(F.col("path")).alias("file_name"), S.stem(F.col("path")).alias("stem"), S.suffix(F.col("path")).alias("suffix"), F.col("length"), F.sha1("content").alias("content_hash"))
 
 
 def metrics(spark: SparkSession, path: str) -> DataFrame:
     """A trainer's table of epochs: trimmed headers, cells that are no numbers null, epoch by position where it is missing."""
     raw = spark.read.csv(path, header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
+    if raw.isEmpty():
+        raise ValueError(f"no rows in {path}")
     t = raw.select([F.col(f"`{c}`").try_cast("double").alias(c.strip()) for c in raw.columns])
     from pyspark.sql import Window
 
@@ -107,18 +112,23 @@ def zip_members(spark: SparkSession, path: str) -> DataFrame:
 
 
 def resolve_members(requests: DataFrame, members: DataFrame) -> DataFrame:
-    """requests (id, base_dir, file_name) with the member each means: four paths in order, else a base name that is unique, over all or below base_dir."""
+    """requests (id, base_dir, file_name) with the member each means: four paths in order, else a base name that is unique, over all or below base_dir.
+
+    Members are counted by base name and each folder above them before they meet the requests, so a name that is everywhere is one row.
+    """
     name = S.clean_path(F.col("file_name"))
     under = lambda tail: F.when(F.col("base_dir") != "", F.concat("base_dir", F.lit("/"), tail)).otherwise(tail)
     tried = F.array(under(name), under(F.concat(F.lit("images/"), S.basename(name))), name, S.basename(name))
-    m = members.select(F.col("member").alias("found"), S.basename(F.col("member")).alias("name"))
-    r = requests.withColumn("wanted", S.basename(name))
-    direct = r.select("id", F.posexplode(tried).alias("p", "candidate")).join(m, F.col("candidate") == F.col("found")).groupBy("id").agg(F.min_by("found", "p").alias("direct"))
-    by_name = r.join(m, F.col("wanted") == F.col("name"))
-    below = F.startswith(F.col("found"), F.concat("base_dir", F.lit("/"))) | (F.col("base_dir") == "")
-    loose = by_name.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("found").alias("only"), F.count_if(below).alias("k"), F.min(F.when(below, F.col("found"))).alias("near"))
-    j = requests.join(direct, "id", "left").join(loose, "id", "left")
-    return j.select("id", F.coalesce("direct", F.when(F.col("n") == 1, F.col("only")), F.when(F.col("k") == 1, F.col("near"))).alias("member"))
+    m = members.select(F.col("member").alias("found"))
+    direct = requests.select("id", F.posexplode(tried).alias("p", "candidate")).join(m, F.col("candidate") == F.col("found")).groupBy("id").agg(F.min_by("found", "p").alias("direct"))
+    parts = F.split("found", "/")
+    folders = F.concat(F.array(F.lit("")), F.when(F.size(parts) > 1, F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, 1, i), "/"))).otherwise(F.array().cast("array<string>")))
+    counted = m.select("found", S.basename(F.col("found")).alias("name"), F.explode(folders).alias("folder")).groupBy("name", "folder").agg(F.count(F.lit(1)).alias("n"), F.min("found").alias("only"))
+    r = requests.select("id", "base_dir", S.basename(name).alias("wanted"))
+    over = counted.filter("folder = ''").select(F.col("name").alias("wanted"), F.col("n").alias("all"), F.col("only").alias("one"))
+    below = counted.select(F.col("name").alias("wanted"), F.col("folder").alias("base_dir"), "n", "only")
+    j = requests.select("id").join(direct, "id", "left").join(r, "id").join(over, "wanted", "left").join(below, ["wanted", "base_dir"], "left")
+    return j.select("id", F.coalesce("direct", F.when(F.col("all") == 1, F.col("one")), F.when(F.col("n") == 1, F.col("only"))).alias("member"))
 
 
 def group_inputs(children: DataFrame, explicit: DataFrame | None = None) -> DataFrame:
@@ -138,18 +148,10 @@ def group_inputs(children: DataFrame, explicit: DataFrame | None = None) -> Data
     return j.select("grp", F.coalesce("input", F.when(F.col("n") == 1, F.col("only")), F.when(F.col("n") != 1, wrong.cast("string"))).alias("input"))
 
 
-def image_paths(requests: DataFrame, files: DataFrame) -> DataFrame:
-    """requests (id, dir, file_name) with the first of four paths that is among files (path)."""
-    name = F.col("file_name")
-    tried = F.array(F.concat("dir", F.lit("/"), name), F.concat("dir", F.lit("/images/"), name), F.concat("dir", F.lit("/"), S.basename(name)), F.concat("dir", F.lit("/images/"), S.basename(name)))
-    hits = requests.select("id", F.posexplode(tried).alias("p", "candidate")).join(files.select(F.col("path").alias("candidate")), "candidate")
-    return requests.join(hits.groupBy("id").agg(F.min_by("candidate", "p").alias("path")), "id", "left").select("id", "path")
-
-
 def records(images: DataFrame, lines: DataFrame, limit: int | None = None) -> DataFrame:
-    """Images (stem, file_name, ...) with their group and label lines in order; images without a label file have none."""
-    per = lines.groupBy("stem").agg(F.transform(F.sort_array(F.collect_list(F.struct("line_number", "line"))), lambda x: x["line"]).alias("lines"))
-    r = images.join(per, "stem", "left").withColumn("lines", F.coalesce("lines", F.array().cast("array<string>"))).withColumn("grp", S.group_from_name(F.col("file_name")))
+    """images() with their group and label lines in order, matched inside a split by folder name (images/train with labels/train); images without a label file have none."""
+    per = lines.groupBy("dir", "stem").agg(F.transform(F.sort_array(F.collect_list(F.struct("line_number", "line"))), lambda x: x["line"]).alias("lines"))
+    r = images.join(per, ["dir", "stem"], "left").withColumn("lines", F.coalesce("lines", F.array().cast("array<string>"))).withColumn("grp", S.group_from_name(F.col("file_name")))
     return r.orderBy("file_name").limit(limit) if limit else r
 
 

@@ -38,3 +38,16 @@ def export(lines: DataFrame, write_file) -> None:
             write_file(r.stem, r.text)
 
     label_texts(lines).foreachPartition(each)
+
+
+def report(df: DataFrame, columns: tuple[str, ...], path: str, mode: str = "errorifexists") -> None:
+    """A CSV table under fixed columns, whose header is there even if there is no row."""
+    if df.isEmpty():
+        df.sparkSession.createDataFrame([(",".join(columns),)], "value string").coalesce(1).write.mode(mode).text(path)
+    else:
+        csv(df.select(*columns), path, mode)
+
+
+def coco_document(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Lines (section, n, line) of a document as text files, which make up the document one after the other by name."""
+    lines.orderBy("section", "n").select("line").write.mode(mode).text(path)

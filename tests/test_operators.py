@@ -76,7 +76,7 @@ def test_clip_polygons_equals_plain_python(spark):
                     want[r.vec_id, w] = (len(q), area(q))
     assert set(got) == set(want)
     for k, (n, a) in want.items():
-        assert got[k].n_points == n and math.isclose(got[k].area, a, rel_tol=1e-9)
+        assert got[k].n_points == n and abs(got[k].area - a) < 1e-5
 
 
 def test_split_counts_edges(spark):
@@ -142,8 +142,12 @@ def test_near_pairs_equal_all_pairs(spark):
     base = [rng.getrandbits(31) for _ in range(60)]
     sigs = [b ^ (1 << rng.randrange(31)) ^ (1 << rng.randrange(31)) for b in base] + base + base[:5]
     df = spark.createDataFrame(list(enumerate(sigs)), "doc_id long, sig long")
-    want = {(i, j, (a ^ b).bit_count()) for i, a in enumerate(sigs) for j, b in enumerate(sigs) if i < j and (a ^ b).bit_count() <= 2}
+    first = {a: sigs.index(a) for a in sigs}
+    want = {(i, j, sigs.count(a), sigs.count(b), (a ^ b).bit_count()) for a, i in first.items() for b, j in first.items() if i < j and (a ^ b).bit_count() <= 2}
     assert {tuple(r) for r in dedupe.near_document_pairs(df).collect()} == want
+    for threshold, bits in ((0, 32), (3, 32), (4, 64)):
+        got = {(r.a, r.b) for r in dedupe.near_pairs(df, threshold, bits).collect()}
+        assert got == {(a, b) for a in first for b in first if a < b and (a ^ b).bit_count() <= threshold}
 
 
 def test_components_of_a_long_chain(spark):
@@ -188,3 +192,62 @@ def test_best_epoch_takes_the_first_tie_and_missing_metrics_last(spark):
 def test_empty_tiles_are_capped(spark):
     tiles = spark.createDataFrame([(1, "02", i, False, 2, int(i == 3)) for i in range(6)] + [(2, "01", i, False, None, 0) for i in range(4)] + [(3, "04", 0, True, 0, 0)], "image_id long, grp string, window_idx int, ignore_negative boolean, max_empty int, n_ann long")
     assert sorted((r.image_id, r.window_idx) for r in tiling.cap_empty(tiles).collect()) == [(1, 0), (1, 1), (1, 3), (2, 0), (2, 1), (2, 2), (2, 3)]
+
+
+def test_names_are_those_of_one_pass_over_the_rows(spark):
+    def plain(names):
+        taken, out = set(), []
+        for x in names:
+            stem, dot, tail = x.rpartition(".")
+            base, tail = (stem, dot + tail) if stem else (x, "")
+            k, new = 0, x
+            while new in taken:
+                k += 1
+                new = f"{base}_{k}{tail}"
+            taken.add(new)
+            out.append(new)
+        return out
+
+    rng = random.Random(5)
+    cases = [["a.jpg", "a.jpg", "a_1.jpg"], ["a_1.jpg", "a.jpg", "a.jpg", "a_1.jpg", "a_1_1.jpg"], ["x", "x", "x_1", ".jpg", ".jpg"]]
+    cases += [[rng.choice(["a", "a_1", "a_2", "a_1_1", "b", "b_01", "c.d"]) + rng.choice([".jpg", ".png", ""]) for _ in range(40)] for _ in range(3)]
+    for names in cases:
+        df = spark.createDataFrame(list(enumerate(names)), "i int, file_name string")
+        got = {r.i: r.file_name for r in merge.unique_names(df, "file_name", [F.col("i")]).collect()}
+        assert [got[i] for i in range(len(names))] == plain(names)
+
+
+def test_fixed_point_text(spark):
+    rng = random.Random(1)
+    xs = [0.0, 1.0, 0.1234565, 5e-7, 2**-30, 2.5, 0.125, 99.995] + [rng.random() for _ in range(500)] + [(rng.randrange(10**6) + 0.5) / 1e6 for _ in range(500)] + [k / 2**7 for k in range(129)]
+    for digits in (6, 2):
+        for r in spark.createDataFrame([(x,) for x in xs], "x double").select("x", S.fixed(F.col("x"), digits).alias("t")).collect():
+            assert r.t == f"{r.x:.{digits}f}"
+    assert one(spark, S.percent(F.lit(0.29496))) == "29.50%"
+
+
+def test_curve_of_scores_crowded_near_zero(spark):
+    rng = random.Random(2)
+    rows = [(i, "all", rng.choice([1e-9, 1e-5, 0.001, 0.5]) * rng.random() if i % 50 else 0.0, rng.randrange(2)) for i in range(600)]
+    got = {r.event_id: (r["rank"], r.ctp) for r in evaluate.curve(spark.createDataFrame(rows, "event_id long, subset string, score double, tp int"), ["subset"]).collect()}
+    hits = 0
+    for n, (i, _, _, tp) in enumerate(sorted(rows, key=lambda r: (-r[2], r[0]))):
+        hits += tp
+        assert got[i] == (n + 1, hits)
+
+
+def test_arguments_and_private_columns(spark):
+    for bad in ({"slice_size": 0, "overlap": 0.1}, {"slice_size": 1, "overlap": 0.9}, {"slice_size": 1, "overlap": 0.1, "batch": 0}, {"slice_size": 1, "overlap": 0.1, "near_threshold": -1}):
+        with pytest.raises(ValueError):
+            evaluate.check_arguments(**bad)
+    evaluate.check_arguments(768, 0.25)
+    assert evaluate.public(spark.range(1).select(F.col("id").alias("_a"), F.col("id").alias("b"))).columns == ["b"]
+
+
+def test_metrics_as_json_with_nan_and_null(spark):
+    import json
+
+    rows = evaluate.json_of(evaluate.summary_rows(fixtures.detections(spark, "/root/testdata/sf0.001"), fixtures.truth(spark, "/root/testdata/sf0.001"))).collect()
+    got = {r.subset: json.loads(r.value) for r in rows}
+    assert got["g03"]["map50"] is None and math.isnan(got["g03"]["recall_at_conf"]) and got["g03"]["ap_by_iou"]["0.50"] is None
+    assert len(got["overall"]["ap_by_iou"]) == 10 and got["overall"]["name"] == "overall" and "NaN" in next(r.value for r in rows if r.subset == "g03")

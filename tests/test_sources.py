@@ -4,8 +4,8 @@ import zipfile
 from pyspark.sql import functions as F
 
 from corvane.functions import geometry
-from corvane.operators import metrics
-from corvane.sources import readers, sinks
+from corvane.operators import dedupe, metrics
+from corvane.sources import listing, readers, sinks
 from corvane.streaming import ingest
 
 
@@ -33,8 +33,8 @@ def test_labels_there_and_back(spark, tmp_path):
     (tmp_path / "g01_000001.txt").write_text("0 .1 .2 .3 .4\n\n1 .5 .5 .1 .1\n")
     (tmp_path / "g01_000002.txt").write_text("")
     lines = readers.label_lines(spark, str(tmp_path))
-    assert sorted(tuple(r) for r in lines.collect()) == [("g01_000001", 1, "0 .1 .2 .3 .4"), ("g01_000001", 3, "1 .5 .5 .1 .1")]
-    more = lines.unionByName(spark.createDataFrame([("x", None, None)], "stem string, line_number int, line string"))
+    assert sorted(tuple(r) for r in lines.collect()) == [(tmp_path.name, "g01_000001", 1, "0 .1 .2 .3 .4"), (tmp_path.name, "g01_000001", 3, "1 .5 .5 .1 .1")]
+    more = lines.drop("dir").unionByName(spark.createDataFrame([("x", None, None)], "stem string, line_number int, line string"))
     sinks.labels(more, f"{tmp_path}/out")
     assert {r.stem: r.text for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {"g01_000001": "0 .1 .2 .3 .4\n1 .5 .5 .1 .1\n", "x": ""}
 
@@ -102,11 +102,64 @@ def test_group_inputs(spark):
 
 
 def test_paths_records_and_subsets(spark):
-    files = spark.createDataFrame([("d/images/a.jpg",), ("d/b.jpg",), ("d/x/c.jpg",)], "path string")
-    asked = spark.createDataFrame([(1, "d", "a.jpg"), (2, "d", "x/b.jpg"), (3, "d", "x/c.jpg"), (4, "d", "no.jpg")], "id int, dir string, file_name string")
-    assert {r.id: r.path for r in readers.image_paths(asked, files).collect()} == {1: "d/images/a.jpg", 2: "d/b.jpg", 3: "d/x/c.jpg", 4: None}
-    images = spark.createDataFrame([("g01_000001", "g01_000001.jpg"), ("g02_000001", "g02_000001.jpg"), ("z", "z.jpg")], "stem string, file_name string")
-    lines = spark.createDataFrame([("g01_000001", 2, "b"), ("g01_000001", 1, "a")], "stem string, line_number int, line string")
-    assert {r.stem: (r.grp, r.lines) for r in readers.records(images, lines).collect()} == {"g01_000001": ("01", ["a", "b"]), "g02_000001": ("02", []), "z": ("unknown", [])}
-    assert [r.stem for r in readers.records(images, lines, 2).collect()] == ["g01_000001", "g02_000001"]
+    files = spark.createDataFrame([("a.jpg",), ("d/b.jpg",), ("d/x/c.jpg",), ("y/e.jpg",), ("b.jpg",)], "path string")
+    asked = spark.createDataFrame([(1, "d", "a.jpg"), (2, "d", "x/b.jpg"), (3, "d", "x/c.jpg"), (4, "d", "no.jpg"), (5, "d", "y/e.jpg")], "id int, dir string, file_name string")
+    assert {r.id: r.path for r in listing.image_paths(asked, files).collect()} == {1: "a.jpg", 2: "d/b.jpg", 3: "d/x/c.jpg", 4: None, 5: "y/e.jpg"}
+    images = spark.createDataFrame([("train", "g01_000001", "g01_000001.jpg"), ("valid", "g01_000001", "g01_000001.jpg"), ("train", "g02_000001", "g02_000001.jpg"), ("train", "z", "z.jpg")], "dir string, stem string, file_name string")
+    lines = spark.createDataFrame([("train", "g01_000001", 2, "b"), ("train", "g01_000001", 1, "a"), ("valid", "g01_000001", 1, "v")], "dir string, stem string, line_number int, line string")
+    assert {(r.dir, r.stem): (r.grp, r.lines) for r in readers.records(images, lines).collect()} == {("train", "g01_000001"): ("01", ["a", "b"]), ("valid", "g01_000001"): ("01", ["v"]), ("train", "g02_000001"): ("02", []), ("train", "z"): ("unknown", [])}
+    assert [r.stem for r in readers.records(images, lines, 2).collect()] == ["g01_000001", "g01_000001"]
     assert [r.stem for r in readers.subset(images, lines, "02").collect()] == ["g02_000001"] and readers.subset(images, lines, "05").isEmpty()
+
+
+def test_class_names_of_every_form(spark, tmp_path):
+    forms = {
+        "a": "path: .\nnames:\n  0: \"fi\\u0072e\"\n  2: smoke\nnc: 2\n", "b": "names: [fire, 'two words']\ntrain: x\n", "c": "names:\n- fire\n- \"two words\"\n", "d": "names: {0: fire, 7: x}\n", "e": "path: .\nnames:\n  0: fire\n",
+    }
+    want = {"a": {0: "fire", 2: "smoke"}, "b": {0: "fire", 1: "two words"}, "c": {0: "fire", 1: "two words"}, "d": {0: "fire", 7: "x"}, "e": {0: "fire"}}
+    for k, text in forms.items():
+        (tmp_path / f"{k}.yaml").write_text(text)
+        assert {r.class_id: r.class_name for r in listing.dataset_names(spark, str(tmp_path / f"{k}.yaml")).collect()} == want[k], k
+
+
+def test_document_is_whole_when_parts_are_joined(spark, tmp_path):
+    from corvane.operators import coco
+
+    images = spark.createDataFrame([(i, f'a "{i}".jpg', i * 2) for i in range(1, 200)], "id long, file_name string, width int").repartition(5)
+    anns = spark.createDataFrame([(i, 1 + i % 199, [[0.5, 1.0]]) for i in range(1, 300)], "id long, image_id long, segmentation array<array<double>>")
+    sinks.coco_document(coco.document_lines(images, anns, spark.createDataFrame([(0, "x"), (1, "y")], "id int, name string")), f"{tmp_path}/doc")
+    d = json.loads("".join(p.read_text() for p in sorted((tmp_path / "doc").glob("part-*"))))
+    assert [x["id"] for x in d["images"]] == list(range(1, 200)) and d["images"][4]["file_name"] == 'a "5".jpg' and len(d["annotations"]) == 299 and d["categories"][1] == {"id": 1, "name": "y"}
+    sinks.coco_document(coco.document_lines(images.limit(0), anns.limit(0), spark.createDataFrame([], "id int, name string")), f"{tmp_path}/none")
+    assert json.loads("".join(p.read_text() for p in sorted((tmp_path / "none").glob("part-*")))) == {"images": [], "annotations": [], "categories": []}
+
+
+def test_reports_have_a_header_and_are_not_overwritten(spark, tmp_path):
+    import pytest
+
+    columns = ("action", "grp", "kept_source_key")
+    none = spark.createDataFrame([], "action string, grp string, kept_source_key string")
+    sinks.report(none, columns, f"{tmp_path}/r")
+    assert spark.read.csv(f"{tmp_path}/r", header=True).columns == list(columns) and spark.read.csv(f"{tmp_path}/r", header=True).count() == 0
+    with pytest.raises(Exception, match="(?i)exist"):
+        sinks.report(none, columns, f"{tmp_path}/r")
+    some = spark.createDataFrame([("kept", "01", "k"), ("removed", "02", "k"), ("removed", "02", "k")], none.schema)
+    sinks.report(some, columns, f"{tmp_path}/r", "overwrite")
+    r = dedupe.summary_of(spark.read.csv(f"{tmp_path}/r", header=True)).first()
+    assert (r.clusters, r.kept, r.removed, r.removed_by_group) == (1, 1, 2, {"02": 2})
+
+
+def test_header_sizes():
+    png = b"\x89PNG\r\n\x1a\n" + b"\0\0\0\rIHDR" + (640).to_bytes(4, "big") + (480).to_bytes(4, "big")
+    jpeg = b"\xff\xd8\xff\xe1\x00\x08abcdef\xff\xff\xc0\x00\x11\x08" + (48).to_bytes(2, "big") + (64).to_bytes(2, "big") + b"\x03"
+    webp = b"RIFF\0\0\0\0WEBPVP8 \0\0\0\0\0\0\0\x9d\x01\x2a" + (33).to_bytes(2, "little") + (44).to_bytes(2, "little")
+    bmp = b"BM" + bytes(16) + (7).to_bytes(4, "little") + (-9).to_bytes(4, "little", signed=True)
+    assert [listing.size_of(x) for x in (png, jpeg, webp, bmp, png[:20], jpeg[:10], b"", None)] == [(640, 480), (64, 48), (33, 44), (7, 9), (0, 0), (0, 0), (0, 0), (0, 0)]
+
+
+def test_no_metric_rows_is_an_error(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "results.csv").write_text("epoch,precision\n")
+    with pytest.raises(ValueError):
+        readers.metrics(spark, str(tmp_path / "results.csv"))
