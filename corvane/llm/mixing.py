@@ -183,3 +183,12 @@ def query(spark, sf_dir: str) -> DataFrame:
 
     m = mix(documents(spark, sf_dir))
     return m.select("doc_id", F.col(f"{P}size").alias("size"), F.col(f"{P}source_size").cast("long").alias("source_size"), F.col(f"{P}target").alias("target"), (F.col(f"{P}copies") * F.col(f"{P}size")).cast("long").alias("taken"), F.col(f"{P}rate").alias("rate"), F.col(f"{P}copies").alias("copies"))
+
+
+def query_targets(spark, sf_dir: str) -> DataFrame:
+    """Size and target of every source."""
+    from .common import documents
+
+    docs = documents(spark, sf_dir).select(F.col("source").alias(f"{P}source"), F.regexp_count(text_of("text"), F.lit(WORD)).cast("long").alias("n"))
+    t = targets(docs.groupBy(f"{P}source").agg(F.sum("n").alias(f"{P}source_size")), (5, 2, 1), 3.0)
+    return t.select(F.col(f"{P}source").alias("source"), F.col(f"{P}source_size").alias("source_size"), F.round(f"{P}target", 4).alias("target"))

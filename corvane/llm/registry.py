@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chunk_dedup, fingerprint, langid, mixing, near_dedup, quality, suffix_dedup, unit_dedup, warc
+from . import bpe, chunk_dedup, fingerprint, langid, mixing, near_dedup, oracle, quality, suffix_dedup, unit_dedup, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": langid.query,
         "op9_byte_bpe": bpe.query,
         "op10_mix_sources": mixing.query,
+        "mix_targets": mixing.query_targets,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
