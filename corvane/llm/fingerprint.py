@@ -13,10 +13,12 @@ anchor.
 position: shared anchors are joined by hash, and of the distances between their positions in the two texts the most frequent one is returned with its number of
 anchors, which is the longest passage in common that moved as one.
 
-s-mers come from one regular expression with a look-ahead group, which costs the same at any place in a text; their minima over a window come from three
-doublings. Long texts are worked on in
+s-mers come from one regular expression with a look-ahead group, which costs the same at any place in a text. Long texts are worked on in
 pieces of `PIECE` characters (overlapping by k - 1), each reduced to its own sketch, so memory does not grow with the square of a text.
 
+As the choice is free of context, the edited text's anchors are those of the text inside the part that stays, and those from the seam onwards; only the latter are
+looked for anew, and sketches of the two parts make up the sketch of the whole.
+
 Documents follow each other by descending id. Ids are cut into buckets at quantiles that are ids of the table; each bucket
 also gets a copy of the first document of the next one, and the last one of the first document of all. So the successor is
 found by a window inside a bucket, and no task sees more than a bucket.
@@ -61,45 +63,81 @@ def place_of(anchor: Column) -> Column:
 def _sketch(found: Column, size: int | None) -> Column:
     """Of unordered anchors the first of each hash, in order, as many as the sketch has."""
 
-    def of(x: Column) -> Column:
-        return F.filter(x, lambda a, i: (i == 0) | (hash_of(F.get(x, i - 1)) < hash_of(a)))
+    def firsts(some: Column) -> Column:
+        return let(F.sort_array(some), lambda x: F.filter(x, lambda a, i: (i == 0) | (hash_of(F.get(x, i - 1)) < hash_of(a))))
+
+    def cut(some: Column) -> Column:
+        return let(firsts(some), lambda x: F.filter(x, lambda a, i: (i < size) | (a < F.lit((1 << (PLACE + HASH)) // ONE_IN))))
 
-    firsts = let(F.sort_array(found), of)
-    return firsts if size is None else F.filter(firsts, lambda a, i: (i < size) | (a < F.lit((1 << (PLACE + HASH)) // ONE_IN)))
+    if size is None:
+        return firsts(found)
+    # The least quarter of the range mostly has all that a sketch takes; else everything is ordered.
+    least = lambda x: cut(F.filter(x, lambda a: a < F.lit((1 << (PLACE + HASH)) // 4)))
+    return let(found, lambda x: F.when(F.size(x) < 3 * size, cut(x)).otherwise(let(least(x), lambda y: F.when(F.size(y) >= size, y).otherwise(cut(x)))))
 
 
-def _anchors(piece: Column, at: Column, size: int | None) -> Column:
-    """Sketch of one piece's closed syncmers; at is the piece's place in the text."""
+def _raw(piece: Column, at: Column) -> Column:
+    """All closed syncmers of one piece as anchors, unordered; at is the piece's place in the text."""
     last = K - S
-    least = lambda x, by: F.zip_with(x, F.slice(x, by + 1, F.size(x)), lambda p, q: F.least(p, q))  # noqa: E731  null at the end counts as nothing
 
     def chosen(h: Column) -> Column:
-        def mark(eight: Column) -> Column:
-            def one(first: Column, i: Column) -> Column:
-                inner = F.least(F.get(eight, i + 1), F.get(eight, i + 2))  # eight and eight are the nine between the edges
-                edge = F.least(first, F.get(h, i + last))
-                kmer = F.xxhash64(first, F.get(h, i + S), F.get(h, i + 2 * S)).bitwiseAND(F.lit((1 << HASH) - 1))
-                return F.when((i < F.size(h) - last) & (edge <= inner), F.shiftleft(kmer, PLACE).bitwiseOR((at + i).cast("long")))
-
-            return F.array_compact(F.transform(h, one))
+        def mark(first: Column, i: Column) -> Column:
+            final = F.get(h, i + last)
+            no_edge = final.isNull()  # the last s-mers start no k-mer
+            for j in range(last - 1, 0, -1):
+                inner = F.get(h, i + j)
+                no_edge = ((inner < first) & (inner < final)) | no_edge
+            kmer = F.xxhash64(first, F.get(h, i + S), F.get(h, i + 2 * S)).bitwiseAND(F.lit((1 << HASH) - 1))
+            return F.when(~no_edge, F.shiftleft(kmer, PLACE).bitwiseOR((at + i).cast("long")))
 
-        return let(least(least(least(h, 1), 2), 4), mark)
+        return F.array_compact(F.transform(h, mark))
 
-    none = F.array().cast("array<bigint>")
     smers = F.transform(F.regexp_extract_all(piece, F.lit(SMERS), F.lit(1)), lambda x: F.xxhash64(x))
-    return let(smers, lambda h: F.when(F.size(h) > last, _sketch(chosen(h), size)).otherwise(none))
+    return let(smers, lambda h: F.when(F.size(h) > last, chosen(h)).otherwise(_none()))
+
+
+def _none() -> Column:
+    return F.array().cast("array<bigint>")
+
+
+def _padded(text: Column) -> Column:
+    return F.concat(F.lit(PAD * (K - S)), text, F.lit(PAD * (K - 1)))
+
+
+def _in_pieces(padded: Column, offset: Column, reduced, joined) -> Column:
+    """joined(array of reduced(anchors) of each piece) of a padded text that starts at offset."""
+
+    def whole(t: Column) -> Column:
+        starts = F.when(F.length(t) < K, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.greatest(F.length(t) - K, F.lit(0)), F.lit(PIECE)))
+        return let(F.transform(starts, lambda at: let(_raw(F.substring(t, at + 1, F.lit(PIECE + K - 1)), at + offset), reduced)), joined)
+
+    return let(padded, whole)
 
 
 def anchors(text: Column, size: int | None = SIZE) -> Column:
     """The anchors of a text as a sorted array of longs: all with size None, else its sketch."""
-    none = F.array().cast("array<bigint>")
+    found = _in_pieces(_padded(text), F.lit(0), lambda x: _sketch(x, size), lambda parts: _sketch(F.flatten(parts), size))
+    return F.when(F.length(text) > 0, found).otherwise(_none())
 
-    def whole(t: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.length(t) - K, F.lit(PIECE))
-        parts = F.transform(starts, lambda at: _anchors(F.substring(t, at + 1, F.lit(PIECE + K - 1)), at, size))
-        return F.when(F.length(t) <= PIECE + K - 1, _anchors(t, F.lit(0), size)).otherwise(_sketch(F.flatten(parts), size))
 
-    return F.when(F.length(text) > 0, let(F.concat(F.lit(PAD * (K - S)), text, F.lit(PAD * (K - 1))), whole)).otherwise(none)
+def with_start(text: Column, start: Column, size: int | None = SIZE) -> Column:
+    """struct(marks, start): the anchors of a text, and those whose k-mers end inside its first `start` characters, as sketches."""
+    side = lambda parts, name: _sketch(F.flatten(F.transform(parts, lambda x: x[name])), size).alias(name)
+
+    def of(last: Column) -> Column:
+        both = lambda x: F.struct(_sketch(x, size).alias("marks"), _sketch(F.filter(x, lambda a: place_of(a) <= last), size).alias("start"))
+        return _in_pieces(_padded(text), F.lit(0), both, lambda parts: F.struct(side(parts, "marks"), side(parts, "start")))
+
+    return F.when(F.length(text) > 0, let(start - S, of)).otherwise(F.struct(_none().alias("marks"), _none().alias("start")))
+
+
+def extended(start_marks: Column, text: Column, start: Column, size: int | None = SIZE) -> Column:
+    """The anchors of a text of whose first `start` characters the anchors are known."""
+
+    def of(seam: Column) -> Column:
+        return _in_pieces(F.substring(_padded(text), seam + 1, F.length(text) + 2 * K), seam, lambda x: _sketch(x, size), lambda parts: _sketch(F.concat(start_marks, F.flatten(parts)), size))
+
+    return F.when(F.length(text) > 0, let(F.greatest(start - S + 1, F.lit(0)), of)).otherwise(_none())
 
 
 def as_text(marks: Column) -> Column:
@@ -175,12 +213,12 @@ def followed(docs: DataFrame, key: str, columns: list[str]) -> DataFrame:
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, __cv_t, __cv_n, __cv_marks and the same of the edited text and the next document's marks."""
-    t = docs.select(key, text_of(text).alias(f"{P}t"))
-    t = t.withColumn(f"{P}marks", anchors(F.col(f"{P}t"))).withColumn(f"{P}tie", F.xxhash64(f"{P}t"))
-    f = followed(t, key, [f"{P}t", f"{P}tie", f"{P}marks"]).withColumn(f"{P}n", F.length(f"{P}t").cast("long"))
-    part = F.floor(F.col(f"{P}n") / 3).cast("int")
-    f = f.withColumn(f"{P}edited", F.concat(F.substring(F.col(f"{P}t"), F.lit(1), F.col(f"{P}n").cast("int") - part), F.substring(F.col(f"{P}next_t"), F.lit(1), part)))
-    return f.withColumn(f"{P}edited_marks", anchors(F.col(f"{P}edited")))
+    t = docs.select(key, text_of(text).alias(f"{P}t")).withColumn(f"{P}n", F.length(f"{P}t").cast("long")).withColumn(f"{P}kept", (F.col(f"{P}n") - F.floor(F.col(f"{P}n") / 3)).cast("int"))
+    t = t.withColumn(f"{P}both", with_start(F.col(f"{P}t"), F.col(f"{P}kept")))
+    t = t.select(key, f"{P}t", f"{P}n", f"{P}kept", F.col(f"{P}both.marks").alias(f"{P}marks"), F.col(f"{P}both.start").alias(f"{P}start")).withColumn(f"{P}tie", F.xxhash64(f"{P}t"))
+    f = followed(t, key, [f"{P}t", f"{P}tie", f"{P}marks"])
+    f = f.withColumn(f"{P}edited", F.concat(F.substring(F.col(f"{P}t"), F.lit(1), F.col(f"{P}kept")), F.substring(F.col(f"{P}next_t"), F.lit(1), F.col(f"{P}n").cast("int") - F.col(f"{P}kept"))))
+    return f.withColumn(f"{P}edited_marks", extended(F.col(f"{P}start"), F.col(f"{P}edited"), F.col(f"{P}kept")))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
