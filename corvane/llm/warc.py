@@ -137,14 +137,14 @@ def chain(candidates: DataFrame, block: int = BLOCK) -> DataFrame:
     while True:
         # Twice as far each round: what is reached also reaches its jump's end, and jumps are joined to themselves.
         ends = jump.select("file", F.col("offset").alias("from"), "exit")
-        more = reached.join(ends, (reached["file"] == ends["file"]) & (reached["offset"] == ends["from"])).filter("exit >= 0").select(reached["file"], F.col("exit").alias("offset"))
+        more = reached.join(ends.hint("merge"), (reached["file"] == ends["file"]) & (reached["offset"] == ends["from"])).filter("exit >= 0").select(reached["file"], F.col("exit").alias("offset"))
         reached = materialise(reached.select("file", "offset").union(more).distinct(), f"warc-reached-{rounds}")
         now = reached.count()
         if now == found:
             break
         found, rounds = now, rounds + 1
         a, b = jump.alias("a"), jump.alias("b")
-        jump = materialise(a.join(b, (F.col("a.file") == F.col("b.file")) & (F.col("a.exit") == F.col("b.offset")), "left").select(F.col("a.file").alias("file"), F.col("a.offset").alias("offset"), F.coalesce(F.col("b.exit"), F.lit(-1)).alias("exit")), f"warc-jump-{rounds}")
+        jump = materialise(a.join(b.hint("merge"), (F.col("a.file") == F.col("b.file")) & (F.col("a.exit") == F.col("b.offset")), "left").select(F.col("a.file").alias("file"), F.col("a.offset").alias("offset"), F.coalesce(F.col("b.exit"), F.lit(-1)).alias("exit")), f"warc-jump-{rounds}")
     entries = reached.select("file", F.floor(F.col("offset") / block).cast("long").alias("block"), F.col("offset").alias("entry"))
     return c.groupBy("file", "block").cogroup(entries.groupBy("file", "block")).applyInPandas(_follow, _REACHED)
 
@@ -179,7 +179,7 @@ def _odd(raw: DataFrame, block: int) -> DataFrame:
     true = chain(places, block).select("file", "offset", F.lit(True).alias("starts"))
     # A piece belongs to the last record that starts at or before it in its file. Nearly all records have one piece.
     order = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
-    owned = places.join(true, ["file", "offset"], "left").withColumn("record", F.max(F.when(F.col("starts"), F.col("offset"))).over(order))
+    owned = places.join(true.hint("merge"), ["file", "offset"], "left").withColumn("record", F.max(F.when(F.col("starts"), F.col("offset"))).over(order))
     owned = owned.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("file", "record")))
     return materialise(owned.filter("n > 1 or record is null").select("file", "split", "seq", "offset", "record"), "warc-odd", keep=True)
 
