@@ -328,14 +328,14 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
     reps = signed.join(member.filter("uid = rep").select("uid").hint("merge"), "uid", "left_semi")
     band = reps.select("uid", F.posexplode("bands").alias("i", "v")).select("uid", "i", F.xxhash64("i", "v").alias("bucket"))
     # Only band values that several documents share; the rest is gone before anything is joined.
-    shared = band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = materialise(band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared-values")
     live = materialise(band.join(shared.hint("merge"), "bucket"), "buckets")
     degree = materialise(live.groupBy("uid").agg((-F.sum("n")).alias("rank")), "candidates")
     ranked = live.select("bucket", "uid").join(degree.hint("merge"), "uid")
     # Least ranks are aggregates with partial sums in each task; no group is sorted or collected.
     draw = F.xxhash64("bucket", "uid")
     centre, chance = F.struct("rank", "uid"), F.struct(draw.alias("h"), "uid")
-    one = ranked.groupBy("bucket").agg(F.min(centre).alias("c"), F.min(chance).alias("a"), F.max(chance).alias("b"))
+    one = materialise(ranked.groupBy("bucket").agg(F.min(centre).alias("c"), F.min(chance).alias("a"), F.max(chance).alias("b")), "first-hubs")
     two = ranked.join(one.hint("merge"), "bucket").filter(F.col("uid") != F.col("c.uid")).groupBy("bucket").agg(F.min(centre).alias("c2"))
     hubs = materialise(one.join(two.hint("merge"), "bucket").select("bucket", F.explode(F.array_distinct(F.array("c.uid", "c2.uid", "a.uid", "b.uid"))).alias("hub")), "hubs")
     pairs = live.select("bucket", "uid").join(hubs.hint("merge"), "bucket").filter("uid <> hub").select("uid", "hub").distinct()
