@@ -47,7 +47,7 @@ BLOCK = 1 << 20
 ARRAY_BYTES = 1 << 20
 MOST_PIECES = 10_000
 #: Chunks: grams of so many bytes, one in so many an anchor, and all positions after so many without one.
-CHUNK_GRAM, ONE_IN, GAP = 8, 40, 160
+CHUNK_GRAM, ONE_IN, GAP = 8, 64, 180
 
 U = np.uint64
 #: Multipliers of the finaliser, base of the rolling hash.
