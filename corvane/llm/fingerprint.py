@@ -229,3 +229,12 @@ def query(spark, sf_dir: str) -> DataFrame:
         likeness(F.col(f"{P}marks"), F.col(f"{P}edited_marks")).alias("near_edited"), likeness(F.col(f"{P}marks"), F.col(f"{P}next_marks")).alias("near_next"),
         F.col(f"{P}near.n").cast("long").alias("aligned_edited"), F.col(f"{P}far.n").cast("long").alias("aligned_next"), F.col(f"{P}far.distance").alias("next_distance"),
     )
+
+
+def query_edited(spark, sf_dir: str) -> DataFrame:
+    """What the fingerprints are taken of: length and digest of each text and of its edited text."""
+    t = documents(spark, sf_dir).select("doc_id", text_of("text").alias(f"{P}t")).withColumn(f"{P}tie", F.xxhash64(f"{P}t"))
+    f = followed(t, "doc_id", [f"{P}t", f"{P}tie"]).withColumn(f"{P}n", F.length(f"{P}t"))
+    part = F.floor(F.col(f"{P}n") / 3).cast("int")
+    edited = F.concat(F.substring(F.col(f"{P}t"), F.lit(1), F.col(f"{P}n") - part), F.substring(F.col(f"{P}next_t"), F.lit(1), part))
+    return f.select("doc_id", F.col(f"{P}n").cast("long").alias("n_chars"), F.sha2(f"{P}t", 256).alias("text_sha256"), F.sha2(edited, 256).alias("edited_sha256"))

@@ -96,4 +96,10 @@ levels as (
 select source, n::bigint as source_size, round(least(3 * n, max(level) over () * w), 4) as target from levels
 """
 
-SQL = {"op1_near_dedup": NEAR, "op3_suffix_dedup": SUFFIX, "op4_line_dedup": LINES, "op5_warc": ARCHIVE, "op7_quality_rules": QUALITY, "mix_targets": TARGETS}
+EDITED = """
+with docs as (select doc_id, coalesce(text, '') as t from documents),
+placed as (select *, coalesce(lead(t) over (order by doc_id desc), first_value(t) over (order by doc_id desc)) as other from docs)
+select doc_id, length(t)::bigint as n_chars, sha256(t) as text_sha256, sha256(substring(t, 1, length(t) - length(t) // 3) || substring(other, 1, length(t) // 3)) as edited_sha256 from placed
+"""
+
+SQL = {"op1_near_dedup": NEAR, "op3_suffix_dedup": SUFFIX, "op4_line_dedup": LINES, "op5_warc": ARCHIVE, "op7_quality_rules": QUALITY, "mix_targets": TARGETS, "edited_texts": EDITED}

@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": langid.query,
         "op9_byte_bpe": bpe.query,
         "op10_mix_sources": mixing.query,
+        "edited_texts": fingerprint.query_edited,
         "mix_targets": mixing.query_targets,
     }
 

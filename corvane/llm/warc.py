@@ -14,7 +14,8 @@ the pieces of one record are joined in order.
 
 Defined cases: a null payload is written as an empty one; a null id is written as the text `null` and read back as null;
 rows repeated with the same id are all responses or all revisits; rows that share payload and the largest id are all responses;
-an empty table gives an archive without records and no rows; other columns are never read.
+an empty table gives an archive without records and no rows; other columns are never read. A file that doesn't begin with a record has none;
+the chain of a file ends before a record that states no length, and at one that is cut off, which is read as far as it goes.
 """
 
 from __future__ import annotations

@@ -58,7 +58,18 @@ def test_awkward_rows(spark, tmp_path):
     for k in (1, 2, 3, 8, 30):
         assert (got[k].lang_pred, got[k].score) == ("und", 0.0)
     assert got[6].lang_pred in model.langs and got[None].lang_pred in model.langs
-    assert set(docs.columns) < set(langid.identify(docs, model).columns)
+    out = langid.identify(docs, model)
+    assert sorted(map(repr, out.select(docs.columns).collect())) == sorted(map(repr, docs.collect())) and set(docs.columns) < set(out.columns)
+
+
+def test_copies_of_one_text_are_learned_once_and_few_reach_the_ranking(spark, monkeypatch):
+    copies = [(i, "the same text " * 9, "en", "a", 1, 1, "", 1) for i in range(400)]
+    others = [(1000 + i, f"own words {i} " * 9, "en", "a", 1, 1, "", 1) for i in range(400)]
+    seen = []
+    monkeypatch.setattr(langid.Network, "train", lambda self, x, y: seen.append(len(x)))
+    langid.fit(helpers.table(spark, [*copies, *others]), per_lang=20)
+    one = sum(langid.windows([t.encode()])[1][0] for t in ["own words 100 " * 9])
+    assert len(seen) == 1 and abs(seen[0] - 20 * one) <= 20
 
 
 def test_empty_table(spark, tmp_path):

@@ -123,3 +123,23 @@ def test_elements_overlap_as_bags_do():
         ex, ey = nd.elements(x), nd.elements(y)
         common = len(np.intersect1d(ex, ey))
         assert abs(common / (len(ex) + len(ey) - common) - nd.similarity(x, y)) < 1e-12
+
+
+def test_groups_whose_links_lie_near_the_threshold(spark, tmp_path):
+    """No member is close to the text that all were made from, so links are few and hubs join little."""
+    rng, texts = random.Random(11), []
+    for lo, hi, n in ((2, 7, 200), (3, 8, 300)):
+        base = [f"v{lo}{rng.randrange(5000)}" for _ in range(200)]
+        for _ in range(n):
+            w = list(base)
+            for _ in range(rng.randint(lo, hi)):
+                w[rng.randrange(200)] = f"y{rng.randrange(10**6)}"
+            texts.append(" ".join(w))
+    got = check(spark, helpers.write(helpers.table(spark, [(i, t, None, None, None, 1, "", 1) for i, t in enumerate(texts)]), tmp_path))
+    assert sum(not r.stays for r in got) > 60
+
+
+def test_columns_pass_through(spark):
+    docs = helpers.table(spark)
+    out = nd.deduplicate(docs)
+    assert sorted(map(repr, out.select(docs.columns).collect())) == sorted(map(repr, docs.collect()))

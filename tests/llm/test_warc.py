@@ -76,3 +76,33 @@ def warc_id(header):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/pages.parquet")
     assert check(spark, tmp_path) == []
+
+
+def record(payload, length=True, kind="response"):
+    body = f"HTTP/1.1 200 OK\r\n\r\n{payload}"
+    stated = f"Content-Length: {len(body.encode())}\r\n" if length else ""
+    return f"WARC/1.0\r\nWARC-Type: {kind}\r\n{stated}\r\n{body}\r\n\r\n"
+
+
+def test_files_that_are_not_whole(spark, tmp_path):
+    """Junk before the first record, a last record that is cut off, a record that states no length."""
+    (tmp_path / "w").mkdir()
+    files = {
+        "junk": "no record\r\n\r\n" + record("a"), "cut": record("a") + record("bcdef")[:-8], "none": record("a") + record("b", length=False) + record("c"), "only": record("a"), "empty": "", "magic": record("x WARC/1.0\r\nContent-Length: 3\r\n\r\n") + record("z"),
+    }
+    for name, text in files.items():
+        (tmp_path / "w" / name).write_bytes(text.encode())
+    got = {}
+    for r in warc.read(spark, f"{tmp_path}/w").orderBy("record").collect():
+        got.setdefault(r.file.rsplit("/", 1)[1], []).append(bytes(r.payload).decode())
+    assert {k: sorted(v) for k, v in got.items()} == {"cut": ["a", "b"], "none": ["a"], "only": ["a"], "magic": ["x WARC/1.0\r\nContent-Length: 3\r\n\r\n", "z"]}
+
+
+def test_revisits_by_sql(spark, tmp_path):
+    from corvane.llm import oracle
+    from tests.oracle import compare, connect
+
+    rows = [(i, "u", "<p>" + "text " * (250 if i % 3 else 20) + str(i % 4), None, None, None) for i in range(40)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    assert compare(spark, connect(str(tmp_path)), "op5", warc.query, oracle.SQL["op5_warc"], str(tmp_path)) == 40
+    assert any(r.record_type == "revisit" for r in warc.query(spark, str(tmp_path)).collect())
