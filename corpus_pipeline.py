@@ -1,7 +1,7 @@
 """A training-corpus pipeline over `documents`: five stages, each of one operator of corvane.llm.
 
 language_id    documents in no learned language go (no letter, or less than MIN_SCORE); a null lang takes the prediction
-line_dedup     chunks of lines that an earlier document has are removed from the text; n_chars follows
+line_dedup     runs of lines that an earlier place has are removed from the text; n_chars follows
 near_dedup     of each class of near-duplicates the first document stays
 mix_sources    documents are repeated or left out so that sources come near their target weights
 byte_bpe       ids of the text, and the digest of what they decode to
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import bpe, chunk_dedup, langid, mixing, near_dedup
-from corvane.llm.common import P, documents, materialise, ship
+from corvane.llm.common import P, documents, materialise, scratch, ship
 
 MIN_SCORE = 0.3
 
@@ -64,8 +64,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = materialise(docs, f"stage-{name}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        with scratch(spark):  # what the stage wrote besides goes when its result is there
+            docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}", keep=True)
+    return STAGES[-1][1](spark, docs, sf_dir)
