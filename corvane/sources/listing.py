@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corvane.functions import scalar as S
 from corvane.functions.config import SPLITS
 from corvane.operators.merge import dense_ids
+from corvane.session import ship
 
 from .readers import ANNOTATION_FILES, IMAGE_SUFFIXES
 
@@ -83,6 +84,7 @@ def size_of(content: bytes | None) -> tuple[int, int]:
 
 def header_size(content: Column) -> Column:
     """struct(width, height) of encoded images, by their headers alone."""
+    ship(SparkSession.active())
 
     @F.pandas_udf(_SIZE)
     def of(values):
