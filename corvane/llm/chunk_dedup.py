@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import P, documents, materialise, scratch
-from .spans import numbered, rows_of
+from .spans import numbered, rows_of, slices
 
 WINDOW = 2
 ONE_IN = 3
@@ -99,23 +99,23 @@ def _batch(rows: list[tuple], schema: T.StructType):
 
 def _outside_chunks(batches: Iterator) -> Iterator:
     """Of each document's repeated pieces (of, found), the chunks and the pairs that no chunk holds."""
-    for batch in batches:
-        for of, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+    for part in slices(batches):
+        out = []
+        for of, found in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
             found.sort(key=lambda p: (p["s"], p["kind"]))
-            out, end = [], -1
+            end = -1
             for p in found:  # chunks don't overlap, and the one that holds a pair starts at or before it
                 if p["kind"] == CHUNK:
                     end = p["e"]
                 elif p["e"] <= end:
                     continue
                 out.append((of, p["kind"], p["s"], p["e"], p["fo"], p["fs"], p["fe"]))
-            yield _batch(out, _FOUND)
+        yield _batch(out, _FOUND)
 
 
 def _texts(batches: Iterator) -> Iterator:
-    for batch in batches:
-        for fo, t, wanted in zip(*(c.to_pylist() for c in batch.columns)):
-            yield _batch([(fo, w["fs"], w["fe"], t[w["fs"] : w["fe"]]) for w in wanted], _TEXT)
+    for part in slices(batches):
+        yield _batch([(fo, w["fs"], w["fe"], t[w["fs"] : w["fe"]]) for fo, t, wanted in zip(*(c.to_pylist() for c in part.columns)) for w in wanted], _TEXT)
 
 
 def repeated(docs: DataFrame, key: str, text: str, window: int, one_in: int) -> DataFrame:
@@ -175,15 +175,13 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window
         from pyspark.sql.pandas.types import to_arrow_schema
 
         to = to_arrow_schema(schema)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                texts, found = part.column(column), part.column(part.num_columns - 1).to_pylist()
-                done = [cut_lines(t, f) if f else (t, None, None) for t, f in zip(texts.to_pylist(), found)]
-                done = [(t, s or None, e or None) for t, s, e in done]
-                own = [pa.array([d[0] for d in done], f.type) if i == column else part.column(i).cast(f.type) for i, f in zip(range(part.num_columns - 1), to)]
-                n = len(own)
-                yield pa.RecordBatch.from_arrays([*own, texts.cast(to.field(n).type), *(pa.array([d[k] for d in done], to.field(n + k).type) for k in (1, 2))], schema=to)
+        for part in slices(batches):
+            texts, found = part.column(column), part.column(part.num_columns - 1).to_pylist()
+            done = [cut_lines(t, f) if f else (t, None, None) for t, f in zip(texts.to_pylist(), found)]
+            done = [(t, s or None, e or None) for t, s, e in done]
+            own = [pa.array([d[0] for d in done], f.type) if i == column else part.column(i).cast(f.type) for i, f in zip(range(part.num_columns - 1), to)]
+            n = len(own)
+            yield pa.RecordBatch.from_arrays([*own, texts.cast(to.field(n).type), *(pa.array([d[k] for d in done], to.field(n + k).type) for k in (1, 2))], schema=to)
 
     return joined.mapInArrow(run, schema)
 

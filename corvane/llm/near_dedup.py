@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from corvane.operators.graph import components
 
 from .common import P, documents, materialise, scratch
-from .spans import numbered
+from .spans import numbered, slices
 
 # Joins with tables that grow with the input carry a merge hint: the same plan at any size, and Spark splits their skewed partitions.
 
@@ -288,8 +288,8 @@ def _compare_blocks(threshold: float):
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
         rows: list[tuple] = []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
+        for part in slices(batches):
+            for row in zip(*(part.column(i).to_pylist() for i in range(6)), part.column(6).to_numpy(zero_copy_only=False), part.column(7).to_numpy(zero_copy_only=False), part.column(8).to_pylist()):
                 if rows and rows[0][:4] != row[:4]:
                     yield out(rows)
                     rows = []

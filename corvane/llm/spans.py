@@ -24,6 +24,13 @@ def numbered(docs: DataFrame) -> DataFrame:
     return materialise(docs.withColumn(f"{P}uid", F.monotonically_increasing_id()), "numbered")
 
 
+def slices(batches: Iterator, rows: int = AT_ONCE) -> Iterator:
+    """The batches in parts of a few rows, so that what Python makes of them stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def rows_of(docs: DataFrame, key: str, text: str, schema: T.StructType, each: Callable[[int, object, str], list[tuple]]) -> DataFrame:
     """each(uid, key, text) gives rows of schema for every document with a text; docs has __cv_uid."""
 
@@ -32,12 +39,10 @@ def rows_of(docs: DataFrame, key: str, text: str, schema: T.StructType, each: Ca
         from pyspark.sql.pandas.types import to_arrow_schema
 
         to = to_arrow_schema(schema)
-        for batch in batches:
-            for at in range(0, batch.num_rows, AT_ONCE):
-                part = batch.slice(at, AT_ONCE)
-                out = [r for u, k, t in zip(*(c.to_pylist() for c in part.columns)) if t for r in each(u, k, t)]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), to)], schema=to)
+        for part in slices(batches):
+            out = [r for u, k, t in zip(*(c.to_pylist() for c in part.columns)) if t for r in each(u, k, t)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), to)], schema=to)
 
     return docs.select(f"{P}uid", F.col(key).alias(f"{P}key"), F.col(text).alias(f"{P}text")).mapInArrow(run, schema)
 

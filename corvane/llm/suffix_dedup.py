@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import P, documents, materialise, scratch
-from .spans import numbered
+from .spans import numbered, slices
 from .suffix import suffix_array
 
 LENGTH = 200
@@ -233,10 +233,12 @@ def _runs(length: int):
 def _cut_pieces(batches: Iterator) -> Iterator:
     import pyarrow as pa
 
-    for batch in batches:
-        for i in range(batch.num_rows):
-            b, wanted = _bytes(batch.column(0)[i].as_py()), batch.column(1)[i].as_py()
-            yield _emit([(w["id"], w["uid"], w["start"], w["n"], b[w["start"] : w["end"]]) for w in wanted], ["id", "uid", "start", "n", "bytes"], [pa.int64()] * 4 + [pa.binary()])
+    for part in slices(batches, 32):
+        out = []
+        for t, wanted in zip(*(c.to_pylist() for c in part.columns)):
+            b = _bytes(t)
+            out += [(w["id"], w["uid"], w["start"], w["n"], b[w["start"] : w["end"]]) for w in wanted]
+        yield _emit(out, ["id", "uid", "start", "n", "bytes"], [pa.int64()] * 4 + [pa.binary()])
 
 
 def merged(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -297,9 +299,9 @@ def joined_claims(batches: Iterator) -> Iterator:
     """(uid, claims of (s, e, ruid, rs)): claims on one text at one distance that touch are one."""
     import pyarrow as pa
 
-    for batch in batches:
+    for part in slices(batches):
         out: list[tuple] = []
-        for uid, claims in zip(*(c.to_pylist() for c in batch.columns)):
+        for uid, claims in zip(*(c.to_pylist() for c in part.columns)):
             now = None
             for r, d, s, e in sorted((c["ruid"], c["s"] - c["rs"], c["s"], c["e"]) for c in claims):
                 if now and now[0] == r and now[1] == d and s <= now[3]:
@@ -317,10 +319,12 @@ def _claimed(batches: Iterator) -> Iterator:
     """The bytes of the stretches (at, end) that other documents claim to repeat."""
     import pyarrow as pa
 
-    for batch in batches:
-        for ruid, t, wanted in zip(*(c.to_pylist() for c in batch.columns)):
+    for part in slices(batches, 32):
+        out = []
+        for ruid, t, wanted in zip(*(c.to_pylist() for c in part.columns)):
             b = _bytes(t)
-            yield _emit([(ruid, w["rs"], w["re"], b[w["rs"] : w["re"]]) for w in wanted], ["ruid", "rs", "re", "original"], [pa.int64()] * 3 + [pa.binary()])
+            out += [(ruid, w["rs"], w["re"], b[w["rs"] : w["re"]]) for w in wanted]
+        yield _emit(out, ["ruid", "rs", "re", "original"], [pa.int64()] * 3 + [pa.binary()])
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -384,19 +388,16 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", length
         from pyspark.sql.pandas.types import to_arrow_schema
 
         to = to_arrow_schema(schema)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                rows = []
-                for t, spans in zip(*(part.column(i).to_pylist() for i in (1, 2))):
-                    b, spans = _bytes(t), spans or ()
-                    if any(x["original"] is not None and b[x["s"] : x["e"]] != x["original"] for x in spans):
-                        raise ValueError("two texts share a 128-bit digest")
-                    gone = union([(x["s"], x["e"]) for x in spans])
-                    edges = [0, *(x for s in gone for x in s), len(b)]
-                    rows.append(([s for s, _ in gone], [e for _, e in gone], b"".join(b[s:e] for s, e in zip(edges[::2], edges[1::2])), sum(e - s for s, e in gone)))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([part.column(0).cast(to.field(0).type), *(pa.array(x, to.field(i + 1).type) for i, x in enumerate(zip(*rows)))], schema=to)
+        for part in slices(batches):
+            rows = []
+            for t, spans in zip(*(part.column(i).to_pylist() for i in (1, 2))):
+                b, spans = _bytes(t), spans or ()
+                if any(x["original"] is not None and b[x["s"] : x["e"]] != x["original"] for x in spans):
+                    raise ValueError("two texts share a 128-bit digest")
+                gone = union([(x["s"], x["e"]) for x in spans])
+                edges = [0, *(x for s in gone for x in s), len(b)]
+                rows.append(([s for s, _ in gone], [e for _, e in gone], b"".join(b[s:e] for s, e in zip(edges[::2], edges[1::2])), sum(e - s for s, e in gone)))
+            yield pa.RecordBatch.from_arrays([part.column(0).cast(to.field(0).type), *(pa.array(x, to.field(i + 1).type) for i, x in enumerate(zip(*rows)))], schema=to)
 
     joined = docs.join(lists.hint("merge"), F.col(f"{P}uid") == F.col(f"{P}of"), "left")
     return joined.select(key, text, f"{P}spans").mapInArrow(run, schema)
