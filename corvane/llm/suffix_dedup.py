@@ -6,7 +6,7 @@ Candidates. Every start p of such a string takes the least hash of the grams of
 strings have equal ids. Consecutive starts with one id form a run; its piece is all bytes its strings cover. Runs whose id occurs
 once are done. Of the rest, runs of equal pieces (by id and 128-bit digest) are one piece with a count, so a passage copied thousands of times goes on once.
 
-Suffix arrays. The pieces are gathered by id, some ids at a time, parsed into
+Suffix arrays. An id under which there is one piece only, with a count, is done: all strings of the piece go. Other pieces are gathered by id, some ids at a time, parsed into
 chunks at anchors that depend only on the bytes that follow (a gram hash, and every position of a longer gap), and the chunks are
 numbered in byte order. An extended chunk is no prefix of another one, so sequences of numbers compare as the bytes do, and the suffix array of
 the numbers (see suffix.py) is a sparse suffix array of the bytes. With the longest common prefixes of its neighbours, a string's
@@ -336,14 +336,16 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     some = materialise(found().join(often.hint("merge"), "id"), "repeated-runs")
     one = F.min(F.struct("uid", "start", "end"))
     pieces = materialise(some.groupBy("id", "piece").agg(F.count(F.lit(1)).alias("n"), one.alias("first")).select("id", "piece", "n", "first.*"), "pieces")
-    many = materialise(pieces.groupBy("id").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > MOST_PIECES).select("id", F.lit(True).alias("many")), "large-ids")
-    marked = pieces.join(many.hint("merge"), "id", "left")
-    wanted = marked.groupBy(F.col("uid").alias("of")).agg(F.collect_list(F.struct("id", "uid", "start", "n", "end", F.coalesce("many", F.lit(False)).alias("many"))).alias("wanted"))
+    counts = materialise(pieces.groupBy("id").agg(F.count(F.lit(1)).alias("k")), "piece-counts")
+    marked = materialise(pieces.join(counts.hint("merge"), "id"), "marked-pieces")
+    wanted = marked.filter("k > 1").groupBy(F.col("uid").alias("of")).agg(F.collect_list(F.struct("id", "uid", "start", "n", "end", (F.col("k") > MOST_PIECES).alias("many"))).alias("wanted"))
     cut = plain.join(wanted.hint("merge"), F.col("uid") == F.col("of"))
     in_arrays = cut.select("text", F.filter("wanted", lambda w: ~w["many"]).alias("wanted")).filter("size(wanted) > 0")
     flagged = materialise(in_arrays.mapInArrow(_cut_pieces, _PIECE).repartition(F.col("id")).sortWithinPartitions("id").mapInArrow(_arrays(length), _FLAGGED), "flagged")
+    # A piece that is alone under its id is there twice at least, as a whole: there is nothing to build an array of.
+    flagged = flagged.unionByName(marked.filter("k = 1").select("uid", F.col("start").alias("base"), "n", F.lit(0).cast("long").alias("s"), (F.col("end") - F.col("start")).alias("e")))
     claims = None
-    if not many.isEmpty():
+    if not marked.filter(F.col("k") > MOST_PIECES).isEmpty():
         large = cut.select("text", F.filter("wanted", lambda w: w["many"]).alias("wanted")).filter("size(wanted) > 0")
         strings = materialise(large.mapInArrow(_cut_pieces, _PIECE).mapInArrow(_strings(length), "digest binary, uid long, base long, n long, s long"), "strings")
         twice = strings.groupBy(F.col("digest").alias("d")).agg(F.sum("n").alias("total"), F.min(F.struct("uid", (F.col("base") + F.col("s")).alias("at"))).alias("first")).filter("total > 1")
