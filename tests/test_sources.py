@@ -163,3 +163,75 @@ def test_no_metric_rows_is_an_error(spark, tmp_path):
     (tmp_path / "results.csv").write_text("epoch,precision\n")
     with pytest.raises(ValueError):
         readers.metrics(spark, str(tmp_path / "results.csv"))
+
+
+def png(x, kind, palette=None, filters=(0, 1, 2, 3, 4)):
+    """An 8-bit PNG of x (height, width, channels), its lines filtered in turn."""
+    import struct
+    import zlib
+
+    h, w, c = x.shape
+    rows = x.reshape(h, w * c).astype(int)
+    out = b""
+    for y in range(h):
+        f, line = filters[y % len(filters)], []
+        for i in range(w * c):
+            a, b, d = (rows[y][i - c] if i >= c else 0), (rows[y - 1][i] if y else 0), (rows[y - 1][i - c] if y and i >= c else 0)
+            p = a + b - d
+            paeth = a if abs(p - a) <= abs(p - b) and abs(p - a) <= abs(p - d) else b if abs(p - b) <= abs(p - d) else d
+            line.append((rows[y][i] - [0, a, b, (a + b) // 2, paeth][f]) % 256)
+        out += bytes([f]) + bytes(line)
+    chunk = lambda name, data: struct.pack(">I", len(data)) + name + data + struct.pack(">I", zlib.crc32(name + data))
+    packed = zlib.compress(out)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, kind, 0, 0, 0)) + (chunk(b"PLTE", palette) if palette else b"") + chunk(b"IDAT", packed[:50]) + chunk(b"IDAT", packed[50:]) + chunk(b"IEND", b"")
+
+
+def test_grey_pixels_of_every_kind_of_png_and_of_bmp():
+    import struct
+
+    import numpy as np
+
+    from corvane.functions import pixels
+
+    rng = np.random.default_rng(1)
+    rgb = rng.integers(0, 256, (13, 17, 3))
+    want = (rgb[..., 0] * 19595 + rgb[..., 1] * 38470 + rgb[..., 2] * 7471 + 0x8000) >> 16
+    one = rng.integers(0, 256, (13, 17, 1))
+    table = rng.integers(0, 256, (256, 3))
+    assert (pixels.grey(png(rgb, 2)) == want).all() and (pixels.grey(png(np.dstack([rgb, one]), 6)) == want).all()
+    assert (pixels.grey(png(one, 0)) == one[..., 0]).all() and (pixels.grey(png(np.dstack([one, one]), 4)) == one[..., 0]).all()
+    assert (pixels.grey(png(one, 3, table.astype(np.uint8).tobytes())) == ((table @ [19595, 38470, 7471] + 0x8000) >> 16)[one[..., 0]]).all()
+    lines = b"".join(bytes(rgb[y][:, ::-1].astype(np.uint8).tobytes()) + b"\0" for y in range(12, -1, -1))
+    bmp = b"BM" + struct.pack("<IHHIIiiHHIIiiII", 54 + len(lines), 0, 0, 54, 40, 17, 13, 1, 24, 0, len(lines), 0, 0, 0, 0) + lines
+    assert (pixels.grey(bmp) == want).all()
+    assert all(pixels.grey(x) is None for x in (None, b"", b"\xff\xd8\xff", png(one, 0)[:40], bmp[:60]))
+
+
+def test_difference_hashes_of_images(spark):
+    import numpy as np
+
+    from corvane.functions import pixels
+
+    ramp = np.tile(np.arange(90)[None, :, None] * 2, (80, 1, 1))
+    bars = np.zeros((64, 72, 1), int)
+    bars[:, ::16] = 255
+    flat = np.full((20, 30, 1), 77)
+    assert pixels.hash_of(png(ramp, 0)) == 0 and pixels.hash_of(png(ramp[:, ::-1], 0)) == -1 and pixels.hash_of(png(flat, 0)) == 0
+    assert (pixels.resampled(flat[..., 0].astype(np.uint8), 9, 8) == 77).all()
+    rng = np.random.default_rng(2)
+    noise = rng.integers(0, 256, (60, 63, 1))
+    # Against the same window in floating point over the whole image.
+    def plain(x, n):
+        scale = x.shape[1] / n
+        at = (np.arange(x.shape[1])[None] + 0.5 - (np.arange(n)[:, None] + 0.5) * scale) / scale
+        w = np.where(np.abs(at) < 3, np.sinc(at) * np.sinc(at / 3), 0)
+        return x @ (w / w.sum(1, keepdims=True)).T
+
+    want = plain(plain(noise[..., 0].astype(float), 9).T, 8).T
+    assert np.abs(pixels.resampled(noise[..., 0].astype(np.uint8), 9, 8) - want).max() <= 1.5
+    near = noise.copy()
+    near[5, 5] = 255 - near[5, 5]
+    a, b = (pixels.hash_of(png(x, 0)) for x in (noise, near))
+    assert ((a ^ b) & (2**64 - 1)).bit_count() <= 2
+    df = spark.createDataFrame([(1, png(noise, 0)), (2, None), (3, b"no image"), (4, png(ramp[:, ::-1], 0))], "i int, content binary")
+    assert {r.i: r.h for r in df.select("i", pixels.difference_hash(F.col("content")).alias("h")).collect()} == {1: a, 2: None, 3: None, 4: -1}
