@@ -13,7 +13,7 @@ values with others (the text that the others were made from, as a rule) and two
 one-byte signatures first (agreement of less than `LEAST_AGREEMENT`, more than five standard deviations below the threshold, is dropped)
 and then by the exact overlap of the two multisets of the whole texts. Linked documents form components. Hubs join most of a group
 in linear work; they settle nothing for two documents that are still in different components and neither of which was a hub. So in groups that still hold
-several components all other members are compared too, in blocks of `BLOCK` documents or `BLOCK_CHARS` characters, block against block, each pair in the
+several components all other members are compared too, those outside the group's largest component with everyone, in blocks of `BLOCK` documents or `BLOCK_CHARS` characters, block against block, each pair in the
 first band that it shares. So every pair of candidates is compared, or is in one component already.
 
 Defined cases: texts without words (null, empty, white space) are never linked; a text of one to four words is one shingle;
@@ -166,7 +166,7 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 _SIGNED = T.StructType([
-    T.StructField("uid", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("bytes", T.ArrayType(T.ByteType())),
+    T.StructField("uid", T.LongType()), T.StructField("chars", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("bytes", T.ArrayType(T.ByteType())),
 ])
 #: Words signed at a time.
 AT_ONCE = 150_000
@@ -180,25 +180,26 @@ def _sign(batches: Iterator) -> Iterator:
 
     to = to_arrow_schema(_SIGNED)
 
-    def flush(ids, digests, bags):
+    def flush(ids, chars, digests, bags):
         least = bag_minhash(bags)
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(list(bands(least)), pa.list_(pa.int64())), pa.array(list(one_byte(least).view(np.int8)), pa.list_(pa.int8()))], schema=to)
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(chars, pa.int64()), pa.array(digests, pa.binary()), pa.array(list(bands(least)), pa.list_(pa.int64())), pa.array(list(one_byte(least).view(np.int8)), pa.list_(pa.int8()))], schema=to)
 
     for batch in batches:
-        ids, digests, bags, held = [], [], [], 0
+        ids, chars, digests, bags, held = [], [], [], [], 0
         for i in range(batch.num_rows):
             t = batch.column(1)[i].as_py()
             w = word_hashes(t.encode("utf-8", "surrogatepass")) if t else ()
             if len(w):
                 ids.append(batch.column(0)[i].as_py())
+                chars.append(len(t))
                 digests.append(hashlib.blake2b(b" ".join(t.encode("utf-8", "surrogatepass").split()), digest_size=16).digest())
                 bags.append(shingles(w))
                 held += len(w)
                 if held >= AT_ONCE or len(bags) >= 1024:
-                    yield flush(ids, digests, bags)
-                    ids, digests, bags, held = [], [], [], 0
+                    yield flush(ids, chars, digests, bags)
+                    ids, chars, digests, bags, held = [], [], [], [], 0
         if bags:
-            yield flush(ids, digests, bags)
+            yield flush(ids, chars, digests, bags)
 
 
 def _verify(threshold: float):
@@ -232,15 +233,14 @@ def elements(bag: np.ndarray) -> np.ndarray:
 
 
 def _compare_blocks(threshold: float):
-    """(a, b): components that a pair of the group's members links. Rows are sorted by group and pair of blocks."""
+    """(a, b): components that a pair of a group's members links. Rows are sorted by group and pair of blocks; those that ask meet those that are asked."""
     schema = "a long, b long"
 
     def links(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        band, i, j = rows[0][1:4]
-        side = np.array([r[4] for r in rows])
-        comp = np.array([r[5] for r in rows])
-        signed = np.array([r[6] for r in rows], np.int8)
-        shared = np.array([r[7] for r in rows], np.int64)
+        band = rows[0][1]
+        ask, several, uid, comp = (np.array([r[i] for r in rows]) for i in (4, 5, 6, 7))
+        signed = np.array([r[8] for r in rows], np.int8)
+        shared = np.array([r[9] for r in rows], np.int64)
         up, sets = {int(c): int(c) for c in comp}, {}
 
         def root(c):
@@ -251,13 +251,13 @@ def _compare_blocks(threshold: float):
 
         def of(k):
             if k not in sets:
-                sets[k] = elements(shingles(word_hashes(rows[k][8].encode("utf-8", "surrogatepass"))))
+                sets[k] = elements(shingles(word_hashes(rows[k][10].encode("utf-8", "surrogatepass"))))
             return sets[k]
 
-        right = np.flatnonzero(side == j)
-        for k in np.flatnonzero(side == i):
-            others = right[right > k] if i == j else right
-            others = others[comp[others] != comp[k]]
+        asked = np.flatnonzero(~ask)
+        for k in np.flatnonzero(ask):
+            # Of two that ask, the one with the lesser number does.
+            others = asked[(comp[asked] != comp[k]) & (~several[asked] | (uid[asked] > uid[k]))]
             others = others[(signed[others] == signed[k]).sum(1) >= LEAST_AGREEMENT * COMPONENTS]
             # A pair is compared in the first band that it shares only.
             others = others[(shared[others] == shared[k]).argmax(1) == band]
@@ -289,7 +289,7 @@ def _compare_blocks(threshold: float):
 
         rows: list[tuple] = []
         for part in slices(batches):
-            for row in zip(*(part.column(i).to_pylist() for i in range(6)), part.column(6).to_numpy(zero_copy_only=False), part.column(7).to_numpy(zero_copy_only=False), part.column(8).to_pylist()):
+            for row in zip(*(part.column(i).to_pylist() for i in range(8)), part.column(8).to_numpy(zero_copy_only=False), part.column(9).to_numpy(zero_copy_only=False), part.column(10).to_pylist()):
                 if rows and rows[0][:4] != row[:4]:
                     yield out(rows)
                     rows = []
@@ -301,20 +301,28 @@ def _compare_blocks(threshold: float):
 
 
 def _rest_of_groups(docs: DataFrame, text: str, live: DataFrame, hubs: DataFrame, labels: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): links between components that no hub has shown, from all pairs of the other members of groups with several components."""
+    """(a, b): links between components that no hub has shown, from all pairs of the other members of groups with several components.
+
+    The members of a group's largest component need no comparison with each other: all others ask, everyone is asked. Both are dealt into blocks, and each block of those that
+    ask meets each block of those that are asked.
+    """
     own = hubs.select(F.col("bucket").alias("g"), "hub").hint("merge")
-    rest = live.select("bucket", "i", "uid").join(own, (F.col("bucket") == F.col("g")) & (F.col("uid") == F.col("hub")), "left_anti")
-    rest = rest.join(labels.hint("merge"), F.col("uid") == F.col("node"), "left").select("bucket", "i", "uid", F.coalesce("label", "uid").alias("comp"))
-    several = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket")
-    rest = materialise(rest.join(several.hint("merge"), "bucket", "left_semi"), "rest")
+    rest = live.select("bucket", "i", "uid", "chars").join(own, (F.col("bucket") == F.col("g")) & (F.col("uid") == F.col("hub")), "left_anti")
+    rest = rest.join(labels.hint("merge"), F.col("uid") == F.col("node"), "left").select("bucket", "i", "uid", "chars", F.coalesce("label", "uid").alias("comp"))
+    per = rest.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("c"))
+    blocks = lambda n, c: F.greatest(F.ceil(n / BLOCK), F.ceil(c / BLOCK_CHARS), F.lit(1)).cast("int")
+    whole = per.groupBy(F.col("bucket").alias("g")).agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("c").alias("c"), F.max(F.struct("n", "comp", "c")).alias("top")).filter("k > 1")
+    whole = materialise(whole.select("g", F.col("top.comp").alias("largest"), blocks(F.col("n"), F.col("c")).alias("x_blocks"), blocks(F.col("n") - F.col("top.n"), F.col("c") - F.col("top.c")).alias("y_blocks")), "rest-groups")
+    rest = materialise(rest.join(whole.hint("merge"), F.col("bucket") == F.col("g")).select("bucket", "i", "uid", "comp", (F.col("comp") != F.col("largest")).alias("several"), "x_blocks", "y_blocks"), "rest")
     ids = rest.select("uid").distinct()
-    size = docs.select(F.col(f"{P}uid").alias("d"), F.col(text).alias("t"), F.length(text).cast("long").alias("chars")).join(ids.hint("merge"), F.col("d") == F.col("uid"), "left_semi")
-    size = reps.select("uid", "bytes", "bands").join(size.hint("merge"), F.col("uid") == F.col("d")).drop("d")
-    size = materialise(size, "rest-texts")
-    measured = rest.join(size.select("uid", "chars").hint("merge"), "uid").groupBy("bucket").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("chars") / BLOCK_CHARS), F.lit(1)).cast("int").alias("blocks"))
-    dealt = rest.join(measured.hint("merge"), "bucket").withColumn("own", F.pmod(F.xxhash64("uid"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", F.col("i").alias("band"), F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), F.col("own").alias("side"), "comp", "uid")
-    dealt = dealt.join(size.select("uid", "bytes", "bands", "t").hint("merge"), "uid").select("bucket", "band", "x", "y", "side", "comp", "bytes", "bands", "t")
+    texts = docs.select(F.col(f"{P}uid").alias("d"), F.col(text).alias("t")).join(ids.hint("merge"), F.col("d") == F.col("uid"), "left_semi")
+    texts = materialise(reps.select("uid", "bytes", "bands").join(texts.hint("merge"), F.col("uid") == F.col("d")).drop("d"), "rest-texts")
+    block = lambda of: F.pmod(F.xxhash64("uid"), of).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    columns = ["bucket", F.col("i").alias("band"), "x", "y", "ask", "several", "uid", "comp"]
+    asked = rest.withColumn("ask", F.lit(False)).withColumn("x", block("x_blocks")).withColumn("y", every("y_blocks")).select(*columns)
+    asking = rest.filter("several").withColumn("ask", F.lit(True)).withColumn("y", block("y_blocks")).withColumn("x", every("x_blocks")).select(*columns)
+    dealt = asked.unionByName(asking).join(texts.hint("merge"), "uid").select("bucket", "band", "x", "y", "ask", "several", "uid", "comp", "bytes", "bands", "t")
     run, schema = _compare_blocks(threshold)
     return materialise(dealt.repartition("bucket", "band", "x", "y").sortWithinPartitions("bucket", "band", "x", "y").mapInArrow(run, schema), "rest-links")
 
@@ -326,7 +334,7 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
     member = materialise(signed.select("uid", "digest").join(first.hint("merge"), "digest").select("uid", "rep"), "members")
 
     reps = signed.join(member.filter("uid = rep").select("uid").hint("merge"), "uid", "left_semi")
-    band = reps.select("uid", F.posexplode("bands").alias("i", "v")).select("uid", "i", F.xxhash64("i", "v").alias("bucket"))
+    band = reps.select("uid", "chars", F.posexplode("bands").alias("i", "v")).select("uid", "chars", "i", F.xxhash64("i", "v").alias("bucket"))
     # Only band values that several documents share; the rest is gone before anything is joined.
     shared = materialise(band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared-values")
     live = materialise(band.join(shared.hint("merge"), "bucket"), "buckets")

@@ -101,7 +101,7 @@ def test_pairs_of_a_large_group_without_a_hub(spark):
     texts = list(variants(40, 200, 1, 5))
     pairs = [" ".join(f"g{i // 2} {i // 2}t{j}" for j in range(150)) + (" tail" if i % 2 else "") for i in range(60)]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts[:1], *pairs])], "__cv_uid long, text string")
-    live = docs.select(F.lit(9).cast("long").alias("bucket"), F.lit(3).alias("i"), F.col("__cv_uid").alias("uid"))
+    live = docs.select(F.lit(9).cast("long").alias("bucket"), F.lit(3).alias("i"), F.col("__cv_uid").alias("uid"), F.length("text").cast("long").alias("chars"))
     signed = [nd.bag_minhash([bag(t)]) for t in [texts[0], *pairs]]
     shared = [[-i if k < 3 else 7 for k in range(nd.BANDS)] for i in range(61)]
     reps = spark.createDataFrame([(i, nd.one_byte(s)[0].view(np.int8).tolist(), b) for i, (s, b) in enumerate(zip(signed, shared))], "uid long, bytes array<tinyint>, bands array<long>")
