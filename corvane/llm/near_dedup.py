@@ -8,8 +8,8 @@ probability sum(min) / sum(max), their weighted Jaccard similarity. Points are d
 exceed the largest of the document's `COMPONENTS` minima, and for all documents of a batch at once.
 
 Documents with equal word sequences are one class, of which only the first goes on. Signatures are cut into `BANDS` bands; documents that share a band's
-value are candidates. In each band value's group, hubs are compared with all others: the two documents that share most band
-values with others (the text that the others were made from, as a rule) and two more by hash, other ones in each group. A pair is compared by
+value are candidates. In each band value's group, two hubs are compared with all others: the documents that share most band
+values with others (the text that the others were made from, as a rule). A pair is compared by
 one-byte signatures first (agreement of less than `LEAST_AGREEMENT`, more than five standard deviations below the threshold, is dropped)
 and then by the exact overlap of the two multisets of the whole texts. Linked documents form components. Hubs join most of a group
 in linear work; they settle nothing for two documents that are still in different components and neither of which was a hub. So in groups that still hold
@@ -341,11 +341,10 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
     degree = materialise(live.groupBy("uid").agg((-F.sum("n")).alias("rank")), "candidates")
     ranked = live.select("bucket", "uid").join(degree.hint("merge"), "uid")
     # Least ranks are aggregates with partial sums in each task; no group is sorted or collected.
-    draw = F.xxhash64("bucket", "uid")
-    centre, chance = F.struct("rank", "uid"), F.struct(draw.alias("h"), "uid")
-    one = materialise(ranked.groupBy("bucket").agg(F.min(centre).alias("c"), F.min(chance).alias("a"), F.max(chance).alias("b")), "first-hubs")
+    centre = F.struct("rank", "uid")
+    one = materialise(ranked.groupBy("bucket").agg(F.min(centre).alias("c")), "first-hubs")
     two = ranked.join(one.hint("merge"), "bucket").filter(F.col("uid") != F.col("c.uid")).groupBy("bucket").agg(F.min(centre).alias("c2"))
-    hubs = materialise(one.join(two.hint("merge"), "bucket").select("bucket", F.explode(F.array_distinct(F.array("c.uid", "c2.uid", "a.uid", "b.uid"))).alias("hub")), "hubs")
+    hubs = materialise(one.join(two.hint("merge"), "bucket").select("bucket", F.explode(F.array("c.uid", "c2.uid")).alias("hub")), "hubs")
     pairs = live.select("bucket", "uid").join(hubs.hint("merge"), "bucket").filter("uid <> hub").select("uid", "hub").distinct()
     sigs = materialise(reps.select("uid", "bytes").join(degree.select("uid").hint("merge"), "uid", "left_semi"), "candidate-signatures")
     # The signatures are compared in the join itself, so that only pairs worth a look at the texts come out of it.
