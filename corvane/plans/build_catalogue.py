@@ -47,8 +47,9 @@ def raw_sources_with_hash(spark, sf):
 
 
 def evaluation_records(spark, sf):
-    lines = X.label_lines(spark, sf).filter("line <> ''").select(X.split_of(F.col("image_id")).alias("dir"), F.concat(F.lit("g0"), (1 + F.col("image_id") % 5).cast("string"), F.lit("_"), F.lpad(F.col("image_id").cast("string"), 6, "0")).alias("stem"), F.col("event_id").alias("line_number"), "line")
-    i = X.images(spark, sf).withColumn("stem", F.concat(F.lit("g0"), (1 + F.col("image_id") % 5).cast("string"), F.lit("_"), F.lpad(F.col("image_id").cast("string"), 6, "0")))
+    stem = S.stable_stem(F.concat(F.lit("0"), (1 + F.col("image_id") % 5).cast("string")), F.col("image_id"))
+    lines = X.label_lines(spark, sf).filter("line <> ''").select(X.split_of(F.col("image_id")).alias("dir"), stem.alias("stem"), F.col("event_id").alias("line_number"), "line")
+    i = X.images(spark, sf).withColumn("stem", stem)
     i = i.select(X.split_of(F.col("image_id")).alias("dir"), "stem", F.concat("stem", F.lit(".jpg")).alias("file_name"), "width", "height")
     r = listing.evaluation_records(i, lines)
     return r.select("dir", "stem", "grp", "width", "height", F.size("lines").alias("n_lines"), F.array_join("lines", "|").alias("text"))
