@@ -28,6 +28,6 @@ def large(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["evaluation_records", "train_slices", "empty_tile_cap"])
+@pytest.mark.parametrize("name", ["evaluation_records", "train_slices", "empty_tile_cap", "train_merged"])
 def test_query_equals_sql(spark, large, name):
     compare(spark, connect(large), name, catalogue.queries()[name], catalogue.oracle_sql()[name], large)
