@@ -55,3 +55,24 @@ def test_short_lines_and_unspaced_scripts_go(spark, tmp_path):
     rows = [(20 + i, t, None, None, None, 1, "", 1) for i, t in enumerate(texts)]
     got = {r[0]: r[2] for r in check(spark, helpers.write(helpers.table(spark, rows), tmp_path))}
     assert [got[20 + i] for i in range(6)] == [texts[0], "second\n", texts[2], "乙\n", texts[4], texts[5]]
+
+
+def test_passages_inside_long_lines_go(spark, tmp_path):
+    words = lambda k, n: " ".join(f"{'aeiou'[i * k % 5]}{i * k * k * 7919 % 100_003}" for i in range(1, n + 1))
+    passage, unspaced = words(17, 60), "".join(chr(0x4E00 + i * i * 31 % 9000) for i in range(1, 61))
+    apart = [f"{words(29, 40)} {passage} {words(31, 30)}", f"{words(37, 11)} {passage.upper()} {words(41, 70)}\nend", f"{words(43, 40)}\n{words(47, 5)} {passage}", f"甲乙丙{unspaced}丁", f"{unspaced[::-1]}{unspaced}"]
+    rows = [(20 + i, t, None, None, None, 1, "", 1) for i, t in enumerate(apart)]
+    got = {r[0] - 20: r for r in check(spark, helpers.write(helpers.table(spark, rows), tmp_path)) if r[0] and r[0] >= 20}
+    assert got[0][1] == [] and got[3][1] == []
+    for i, inside in ((1, passage.upper()), (2, passage), (4, unspaced)):
+        a = apart[i].rindex(inside)
+        gone = sum(max(0, min(s["end"], a + len(inside)) - max(s["start"], a)) for s in got[i][1])
+        assert all(a <= s["start"] and s["end"] <= a + len(inside) + 1 for s in got[i][1]) and gone >= len(inside) // 3
+
+
+def test_cuts_depend_on_what_is_near():
+    words = [f"w{i * i * 7919 % 100_003}" for i in range(3000)]
+    whole, part = " ".join(words), " ".join(words[1000:2000])
+    at, edge = whole.index(part), 80
+    assert [c for c in unit_dedup.cuts(part) if edge < c < len(part) - edge] == [c - at for c in unit_dedup.cuts(whole) if edge < c - at < len(part) - edge] != []
+    assert unit_dedup.cuts(" ".join(words[:25])) == [] and unit_dedup.cuts("the same words " * 50) == []
