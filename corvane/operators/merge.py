@@ -76,14 +76,16 @@ def unique_names(df: DataFrame, name: str, order: list[Column]) -> DataFrame:
     return plain.unionByName(named).withColumn(name, F.col("__new")).drop("__root", "__new")
 
 
-def merge_parts(images: DataFrame, annotations: DataFrame, stretch: int = 4096) -> tuple[DataFrame, DataFrame]:
+def merge_parts(images: DataFrame, annotations: DataFrame, stretch: int = 4096, image_stretch: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """images (part, image_id, file_name, ...) and annotations (part, image_id, ann_pos, ...) of all parts, under new ids.
 
-    Annotations of images that no part has are dropped.
+    Annotations of images that no part has are dropped. One task numbers `stretch` ids, and one sums all stretches: where image ids lie far apart, image_stretch says
+    which stretch of its part an image is in. Images are written before and after they are named and numbered, as names, totals and annotations read them again.
     """
     order = [F.col("part"), F.col("image_id")]
-    named = unique_names(images, "file_name", order)
-    new = dense_ids(named, "new_id", [F.col("part"), F.floor(F.col("image_id") / stretch)], [F.col("image_id")])
+    named = unique_names(materialise(images, "parts", keep=True), "file_name", order)
+    at = F.floor(F.col("image_id") / stretch) if image_stretch is None else image_stretch
+    new = materialise(dense_ids(named, "new_id", [F.col("part"), at], [F.col("image_id")]), "merged", keep=True)
     ids = new.select("part", "image_id", "new_id")
     kept = annotations.join(ids, ["part", "image_id"])
     numbered = dense_ids(kept, "new_ann_id", [F.floor(F.col("new_id") / stretch)], [F.col("new_id"), F.col("ann_pos")])

@@ -31,16 +31,16 @@ def counted(tiles: DataFrame, boxes: DataFrame) -> DataFrame:
     return tiles.join(per, ["image_id", "window_idx"], "left").withColumn("n_ann", F.coalesce("n", F.lit(0)).cast("long")).drop("n")
 
 
-def cap_empty(tiles: DataFrame, source: Column | None = None) -> DataFrame:
+def cap_empty(tiles: DataFrame, source: Column | None = None, more: tuple[str, ...] = ()) -> DataFrame:
     """Tiles (n_ann, ...): those with annotations and, per source, the first max_empty empty ones by file name (all, where it is null).
 
-    A source is what `source` says, else the start of the file name as far as the sixth digit of the image's id, as the pipeline has it: longer ids share sources then.
+    A source is what `source` says, else the start of the file name as far as the sixth digit of the image's id, as the pipeline has it: longer ids share sources then. `more` columns of the tiles stay.
     """
     t = tiles.withColumn("file_name", F.format_string("g%s_%06d_slice_%04d.jpg", "grp", "image_id", "window_idx")).filter(~(F.col("ignore_negative") & (F.col("n_ann") == 0)))
     stem = F.coalesce(F.nullif(F.regexp_extract("file_name", r"^(g\d{2}_\d{6})", 1), F.lit("")), F.lit("unknown")) if source is None else source
     empty = F.col("n_ann") == 0
     t = t.withColumn("stem", stem).withColumn("r", F.when(empty, F.row_number().over(Window.partitionBy("stem", empty).orderBy("file_name"))))
-    return t.filter(~empty | F.col("max_empty").isNull() | (F.col("r") <= F.col("max_empty"))).select("image_id", "window_idx", "file_name", "n_ann")
+    return t.filter(~empty | F.col("max_empty").isNull() | (F.col("r") <= F.col("max_empty"))).select("image_id", "window_idx", "file_name", "n_ann", *more)
 
 
 def clip_annotations(tiles: DataFrame, annotations: DataFrame) -> DataFrame:
@@ -67,10 +67,15 @@ def slices(images: DataFrame, annotations: DataFrame) -> tuple[DataFrame, DataFr
     """Tiles of images (image_id, grp, width, height, ...) with their names and numbers of annotations, capped empty ones gone, and the clipped annotations of those that stay."""
     tiles = windows(images)
     clipped = clip_annotations(tiles, annotations)
+    kept = kept_tiles(tiles, clipped)
+    return kept, annotations_of(clipped, kept)
+
+
+def kept_tiles(tiles: DataFrame, clipped: DataFrame) -> DataFrame:
+    """Tiles with their names and numbers of annotations in clipped (image_id, window_idx, ...), capped empty ones gone."""
     per = clipped.groupBy("image_id", "window_idx").agg(F.count(F.lit(1)).alias("__n"))
     full = tiles.join(per, ["image_id", "window_idx"], "left").withColumn("n_ann", F.coalesce("__n", F.lit(0)).cast("long")).drop("__n")
-    kept = cap_empty(full, F.col("image_id")).join(tiles.select("image_id", "window_idx", "grp", "x0", "y0", "x1", "y1"), ["image_id", "window_idx"])
-    return kept, annotations_of(clipped, kept)
+    return cap_empty(full, F.col("image_id"), ("grp", "x0", "y0", "x1", "y1"))
 
 
 def annotations_of(clipped: DataFrame, kept: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from corvane.functions import geometry as G
 from corvane.functions import scalar as S
 from corvane.operators import coco, dedupe, evaluate, labels, merge, metrics, reports, split, tiling
 from corvane.sources import listing, readers
+from corvane.tables import materialise
 
 from . import fixtures as X
 
@@ -125,12 +126,14 @@ def train_slice_annotations(spark, sf):
 
 def train_merged(spark, sf):
     base = X.build_sources(spark, sf).filter("split = 'train'").select(F.lit("0").alias("part"), "image_id", S.stable_stem(F.col("grp"), F.col("source_index")).alias("file_name"))
-    tiles, anns = _slices(spark, sf)
-    key = F.col("image_id") * 10_000 + F.col("window_idx")
-    images = base.unionByName(tiles.select(F.concat(F.lit("g"), "grp").alias("part"), key.alias("image_id"), "file_name"))
+    windows = tiling.windows(X.images(spark, sf).filter(X.split_of(F.col("image_id")) == "train"))
+    # Tiles and annotations both follow from what lies where, so polygons are clipped once.
+    clipped = materialise(tiling.clip_annotations(windows, X.build_annotations(spark, sf)).select("grp", "image_id", "window_idx", "ann_id"), "clipped", keep=True)
+    part, key = F.concat(F.lit("g"), "grp").alias("part"), (F.col("image_id") * 10_000 + F.col("window_idx")).alias("image_id")
+    images = base.unionByName(tiling.kept_tiles(windows, clipped).select(part, key, "file_name"))
     own = X.build_annotations(spark, sf).filter(X.split_of(F.col("image_id")) == "train").select(F.lit("0").alias("part"), "image_id", "ann_pos")
-    cut = anns.select(F.concat(F.lit("g"), "grp").alias("part"), key.alias("image_id"), F.col("ann_id").alias("ann_pos"))
-    merged, new = merge.merge_parts(images, own.unionByName(cut))
+    cut = clipped.select(part, key, F.col("ann_id").alias("ann_pos"))
+    merged, new = merge.merge_parts(images, own.unionByName(cut), image_stretch=F.floor(F.col("image_id") / F.when(F.col("part") == "0", 4096).otherwise(4096 * 10_000)))
     per = new.groupBy("new_id").agg(F.count(F.lit(1)).alias("n"), F.min("new_ann_id").alias("first"))
     return merged.join(per, "new_id", "left").select("new_id", "part", "file_name", F.coalesce("n", F.lit(0)).cast("long").alias("n_annotations"), F.col("first").alias("first_ann_id"))
 
